@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 CATEGORICAL = ("department_id", "brand_id")
 NUMERICAL = ("price", "avg_hhi", "avg_traffic", "rl_price", "discount")
 LABEL = "sales"
+# Memory for the histograms of one pass; more memory, more tree nodes split per pass over the rows.
+HISTOGRAM_MEMORY_MB = 1024
 _INDEXED = [f"{c}_StringIndexed" for c in CATEGORICAL]
 _ENCODED = [f"{c}_Vec" for c in _INDEXED]
 
@@ -83,6 +85,7 @@ def pipeline(seed: int = 1, trees: int = 100, depth: int = 10, bins: int = 32) -
                 numTrees=trees,
                 maxDepth=depth,
                 maxBins=bins,
+                maxMemoryInMB=HISTOGRAM_MEMORY_MB,
                 impurity="variance",
                 featureSubsetStrategy="auto",
                 seed=seed,
@@ -92,10 +95,15 @@ def pipeline(seed: int = 1, trees: int = 100, depth: int = 10, bins: int = 32) -
 
 
 def train(training_rows: DataFrame, seed: int = 1, **settings: int) -> Forest:
-    """Fit the forest. Spark trains it level by level over the distributed rows."""
+    """Fit the forest. Spark trains it level by level over the distributed rows.
+
+    The narrow training rows are spread evenly first: they may come in few files, and every level
+    passes over them again.
+    """
+    parts = int(training_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = training_rows.select(
         *CATEGORICAL, *NUMERICAL, F.col(LABEL).cast("double").alias(LABEL)
-    )
+    ).repartition(parts)
     return Forest(pipeline(seed, **settings).fit(wanted))
 
 

@@ -25,9 +25,10 @@ def cluster_stores(stores: DataFrame, k: int | None = None, seed: int = 1) -> Da
     """
     if k is None:
         k = 3 if stores.limit(3).count() > 2 else 1
-    points = VectorAssembler(inputCols=list(STANDARDIZED), outputCol="point").transform(
-        standardize(stores, ATTRIBUTES)
-    )
+    measured = standardize(stores, ATTRIBUTES)
+    if k == 1:
+        return measured.withColumn("cluster_val", F.lit(0))
+    points = VectorAssembler(inputCols=list(STANDARDIZED), outputCol="point").transform(measured)
     means = KMeans(k=k, maxIter=200, seed=seed, featuresCol="point", predictionCol="cluster_val")
     return means.fit(points).transform(points).drop("point")
 

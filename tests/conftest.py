@@ -1,0 +1,29 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    yield session
+    session.stop()
