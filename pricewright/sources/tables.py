@@ -70,13 +70,14 @@ def save_weeks_table(df: DataFrame, name: str) -> None:
     except AnalysisException:
         save_table(df, name, ["week_start"])
         return
-    (
-        df.select(*columns)
-        .hint("rebalance", "week_start")
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .insertInto(name)
-    )
+    # Inserting into a table heeds only the session's setting, not a writer option.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*columns).hint("rebalance", "week_start").write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def suggested_prices(chosen: DataFrame) -> DataFrame:
