@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 def folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only where neither the setting nor a checkpoint directory exists, as in local tests, a temporary
-    folder is made and set.
+    Only where neither the setting nor a checkpoint directory exists and the master is local, as in
+    tests, a temporary folder is made and set. On a cluster it would be another folder on each machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="run-")
         spark.sparkContext.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
