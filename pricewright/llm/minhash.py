@@ -243,8 +243,6 @@ def _hub_distances(members: DataFrame, similarity: int) -> DataFrame:
     others = members.where("class_id != hub").select(
         "hub", "block", "class_id", "shingles", F.lit(False).alias("is_hub")
     )
-    # One struct as key: rows dealt by hub alone would put a whole group in one task.
-    task = F.struct("hub", "block").alias("task")
 
     def measure(group: pa.Table) -> pa.Table:
         is_hub = group["is_hub"].to_numpy()
@@ -259,10 +257,10 @@ def _hub_distances(members: DataFrame, similarity: int) -> DataFrame:
             cells[n] = max(0, -(-100 * (union - both) // ((100 - similarity) * union)) - 1)
         return pa.table({"class_id": ids[rest], "cell": pa.array(cells)})
 
+    # One struct as key: rows dealt by hub alone would put a whole group in one task.
     measured = (
         copies.unionByName(others)
-        .select(task, "class_id", "shingles", "is_hub")
-        .groupBy("task")
+        .groupBy(F.struct("hub", "block"))
         .applyInArrow(measure, "class_id bigint, cell int")
     )
     return members.join(measured, "class_id", "left").withColumn(
@@ -327,12 +325,8 @@ def _compared(celled: DataFrame, similarity: int) -> DataFrame:
         moved = root != ids
         return pa.table({"a": ids[moved], "b": root[moved]})
 
-    task_key = F.struct("hub", "lc", "lb", "hc", "hb").alias("task")
-    return (
-        spread.select(task_key, "lb", "hb", "side", "class_id", "mine", "shingles")
-        .groupBy("task")
-        .applyInArrow(compare, "a bigint, b bigint")
-    )
+    task_key = F.struct("hub", "lc", "lb", "hc", "hb")
+    return spread.groupBy(task_key).applyInArrow(compare, "a bigint, b bigint")
 
 
 def _estimated(crossing: DataFrame, classes: DataFrame, similarity: int, k: int) -> DataFrame:

@@ -181,8 +181,7 @@ def nearest(
 
     found = (
         left.unionByName(right)
-        .select(F.struct("shard", "block", "dims").alias("task"), "id", "vector", "asks")
-        .groupBy("task")
+        .groupBy(F.struct("shard", "block", "dims"))
         .applyInArrow(search, "query_id bigint, vec_id bigint, score double")
     )
     line = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
