@@ -378,6 +378,54 @@ FROM price_change""",
     "append_twice": _with(_SALE, _WEEKLY)
     + """
 SELECT store_id, product_id, sales, CAST(week_start AS VARCHAR) AS week_start FROM weekly""",
+    "late_sales": _with(_SALE, _WEEKLY)
+    + """
+SELECT store_id, product_id, sales, CAST(week_start AS VARCHAR) AS week_start FROM weekly""",
+    "catalog_weeks": _with(_SALE, _WEEKLY)
+    + """
+SELECT store_id, product_id, sales, CAST(week_start AS VARCHAR) AS week_start FROM weekly""",
+    "stored_groups": _with(_STORE, _ZSCORE, _GROUPED)
+    + " SELECT store_id, avg_hhi, avg_traffic, group_val FROM experiment",
+    "training_rows": _with(_BASE)
+    + """
+SELECT CAST(week_start AS VARCHAR) AS week_start, store_id, product_id, sales, price FROM aggregated""",
+    "step_log": """
+SELECT event_type AS step, CAST(count(*) AS DOUBLE) AS time, CAST(CAST(ts AS DATE) AS VARCHAR) AS exec_date
+FROM events GROUP BY ALL""",
+    "published_model": _with(_BASE)
+    + """
+SELECT 1 AS trains_first, 1 AS then_not_first, 1 AS then_again, 1 AS newest_found,
+       count(*) AS equal_scores, CAST(2 AS BIGINT) AS metric_lines, 1 AS fits
+FROM aggregated WHERE price IS NOT NULL""",
+    "store_clusters": _with(_STORE) + " SELECT store_id, 1 AS settled FROM store",
+    "encoded_features": _with(_BASE)
+    + """
+, seen AS (
+    SELECT 'department_id' AS field, department_id AS category, count(*) AS rows FROM aggregated GROUP BY ALL
+    UNION ALL
+    SELECT 'brand_id', brand_id, count(*) FROM aggregated GROUP BY ALL
+),
+numbered AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY field ORDER BY rows DESC, category) - 1 AS INTEGER) AS number
+    FROM seen
+)
+SELECT field, category, rows, number, number AS slot FROM numbered""",
+    "forest_scores": _with(_BASE)
+    + """
+SELECT CAST(week_start AS VARCHAR) AS week_start, store_id, product_id, sales, 1 AS in_range
+FROM aggregated WHERE price IS NOT NULL""",
+    "forest_recommendations": _with(_BASE, _LATEST)
+    + """
+SELECT CAST(week_start AS VARCHAR) AS week_start, store_id, department_id, product_id, 1 AS fits
+FROM offered""",
+    "elasticity_by_store": _with(_BASE)
+    + f"""
+SELECT store_id, department_id, {_settle("regr_slope(ln(sales), ln(price))")} AS elasticity,
+       count(*) AS observations, min(price) AS min_price, max(price) AS max_price
+FROM aggregated WHERE price > 0 AND sales > 0
+GROUP BY store_id, department_id HAVING min(price) < max(price)""",
+    "recommended_weeks": _with(_BASE, _LATEST)
+    + " SELECT DISTINCT CAST(week_start AS VARCHAR) AS week_start FROM offered ORDER BY 1",
     "export_prices": _with(_SALE, _PRICE_CHANGE)
     + " SELECT product_id, store_id, date AS week_start, price FROM price_change",
     "sql_views": _with(_BASE)
@@ -441,7 +489,7 @@ SELECT {_settle("sqrt(squared)")} AS RMSE, {_settle("1 - squared / variance")} A
 SELECT {_G_TEXT}, product_id, j AS price_idx, price,
        CASE WHEN inside OR (NOT any_inside AND nearest) THEN 1 ELSE 0 END AS valid
 FROM marked""",
-    "scored_candidates": _with(_BASE, _LATEST, _RANGES, _GRIDS)
+    "scored_candidates": _with(_BASE, _TREATED, _RANGES, _GRIDS)
     + f"""
 SELECT {_G_TEXT}, product_id, s AS sum_idx, j AS price_idx, price, price_sum, rl_price, discount,
        units, obj

@@ -28,12 +28,16 @@ class Cycle:
 
 
 def to_day(text: Column) -> Column:
-    """Date of a text timestamp; also reads the form whose blank was stripped. Bad text gives null."""
+    """Date of a text timestamp; also reads the form whose blank was stripped.
+
+    Null text gives null; text of neither form is an error, as a sale without a day would be lost.
+    """
     stamp = F.coalesce(
         F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)),
         F.try_to_timestamp(text, F.lit(COMPACT_TIMESTAMP_FORMAT)),
     )
-    return F.to_date(stamp)
+    refused = F.raise_error(F.concat(F.lit("unreadable time: "), text)).cast("date")
+    return F.when(text.isNull() | stamp.isNotNull(), F.to_date(stamp)).otherwise(refused)
 
 
 def week_start(day: Column, cycle: Cycle) -> Column:

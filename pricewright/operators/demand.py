@@ -11,6 +11,7 @@ from typing import Protocol
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,8 @@ NUMERICAL = ("price", "avg_hhi", "avg_traffic", "rl_price", "discount")
 LABEL = "sales"
 # Memory for the histograms of one pass; more memory, more tree nodes split per pass over the rows.
 HISTOGRAM_MEMORY_MB = 1024
-_INDEXED = [f"{c}_StringIndexed" for c in CATEGORICAL]
-_ENCODED = [f"{c}_Vec" for c in _INDEXED]
+_INDEXED = [f"{c}_number" for c in CATEGORICAL]
+_ENCODED = [f"{c}_slots" for c in CATEGORICAL]
 
 
 class Demand(Protocol):
@@ -98,13 +99,35 @@ def train(training_rows: DataFrame, seed: int = 1, **settings: int) -> Forest:
     """Fit the forest. Spark trains it level by level over the distributed rows.
 
     The narrow training rows are spread evenly first: they may come in few files, and every level
-    passes over them again.
+    passes over them again. Dealt and sorted by all their values they are the same rows in the same
+    order in every run, so that the trees, which draw rows by their place, are the same too.
     """
     parts = int(training_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = training_rows.select(
         *CATEGORICAL, *NUMERICAL, F.col(LABEL).cast("double").alias(LABEL)
-    ).repartition(parts)
-    return Forest(pipeline(seed, **settings).fit(wanted))
+    )
+    placed = wanted.repartition(parts, *wanted.columns).sortWithinPartitions(*wanted.columns)
+    return Forest(pipeline(seed, **settings).fit(placed))
+
+
+def encode(df: DataFrame) -> DataFrame:
+    """Each category with its number, most frequent first and then by name, and its one-hot slot."""
+    indexer, encoder = pipeline().getStages()[:2]
+    seen = [
+        df.groupBy(c).agg(F.count("*").alias("rows")).select(F.lit(c).alias("field"), F.col(c).alias("category"), "rows")
+        for c in CATEGORICAL
+    ]
+    numbered = indexer.fit(df).transform(df)
+    encoded = encoder.fit(numbered).transform(numbered)
+    out = None
+    for c, number, slots, rows in zip(CATEGORICAL, _INDEXED, _ENCODED, seen, strict=True):
+        each = encoded.groupBy(F.col(c).alias("category")).agg(
+            F.first(number).cast("int").alias("number"),
+            F.first(F.array_position(vector_to_array(slots), 1.0) - 1).cast("int").alias("slot"),
+        )
+        part = rows.join(each, "category").select("field", "category", "rows", "number", "slot")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def score(model: Demand, df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.functions.measures import discount, relative_price
@@ -16,23 +16,24 @@ GROUP = ("week_start", "store_id", "department_id")
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_std``: distance from the mean in sample standard deviations.
 
-    0 where there is no deviation to divide by. Mean and deviation come from one aggregate and reach
-    the rows as a scalar subquery.
+    0 where there is no deviation to divide by. Mean and deviation of each column are fetched as numbers,
+    one small job: as a subquery they would be copied into every expression made of them.
     """
-    statistics = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"{c}_mean") for c in columns],
-            *[F.stddev_samp(c).alias(f"{c}_dev") for c in columns],
-        ).alias("s")
-    ).scalar()
-    with_stats = df.withColumn("_s", statistics)
-    return with_stats.select(
+    found = df.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in columns],
+        *[F.stddev_samp(c).alias(f"{c}_dev") for c in columns],
+    ).first()
+
+    def known(name: str) -> Column:
+        return F.lit(found[name]).cast("double")
+
+    return df.select(
         *df.columns,
         *[
             F.when(
                 F.col(c).isNotNull(),
                 F.coalesce(
-                    F.try_divide(F.col(c) - F.col(f"_s.{c}_mean"), F.col(f"_s.{c}_dev")), F.lit(0.0)
+                    F.try_divide(F.col(c) - known(f"{c}_mean"), known(f"{c}_dev")), F.lit(0.0)
                 ),
             ).alias(f"{c}_std")
             for c in columns

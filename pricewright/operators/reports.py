@@ -101,6 +101,7 @@ def profit_gain(sales: DataFrame) -> DataFrame:
 
 
 def weeks(df: DataFrame) -> DataFrame:
+    """Weeks of a table of sales or of recommendations, in order."""
     return df.select("week_start").distinct().orderBy("week_start")
 
 
@@ -110,19 +111,23 @@ def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFra
 
 
 def log_step(spark: SparkSession, table: str, step: str, seconds: float, exec_date: str) -> None:
-    line = spark.createDataFrame([(step, float(seconds), exec_date)], STEP_TIMES)
-    tables.save_table(line, table)
+    log_steps(spark.createDataFrame([(step, float(seconds), exec_date)], STEP_TIMES), table)
+
+
+def log_steps(lines: DataFrame, table: str, path: str | None = None) -> None:
+    """Append lines of (step, time, exec_date)."""
+    tables.save_table(lines.select("step", "time", "exec_date"), table, path=path)
 
 
 def step_times(timings: DataFrame) -> DataFrame:
-    """Every step on every date, with time 0 where it did not run.
+    """Every step on every date, with time 0 where it did not run; no timing is lost.
 
     Step names are few by nature; they reach the dates as one array, which replaces a product of two
-    tables.
+    tables. A timing whose step or date is null has no place in the grid and stays as it is.
     """
     names = timings.agg(F.array_sort(F.collect_set("step")).alias("steps")).scalar()
-    dates = timings.select("exec_date").distinct()
+    dates = timings.select("exec_date").where("exec_date IS NOT NULL").distinct()
     grid = dates.withColumn("step", F.explode(names))
-    return grid.join(timings, ["step", "exec_date"], "left").select(
+    return grid.join(timings, ["step", "exec_date"], "full_outer").select(
         "step", "exec_date", F.coalesce("time", F.lit(0.0)).alias("time")
     )

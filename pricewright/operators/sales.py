@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.functions.calendar import Cycle, week_start
+from pricewright.sources.tables import WRITTEN_BY
 
 KEY = ("week_start", "store_id", "product_id")
 
@@ -49,6 +50,17 @@ def attach_dims(sales: DataFrame, products: DataFrame, stores: DataFrame) -> Dat
     return sales.join(products, "product_id").join(stores, "store_id")
 
 
+def add_up(rows: DataFrame) -> DataFrame:
+    """One row a week, store and product from the rows that several cycles wrote.
+
+    A late sale arrives without the price of its week, so the price is the one that is known.
+    """
+    others = [c for c in rows.columns if c not in (*KEY, "sales", WRITTEN_BY)]
+    return rows.groupBy(*KEY).agg(
+        F.sum("sales").alias("sales"), *[F.max(c).alias(c) for c in others]
+    )
+
+
 def aggregate(
     sold: DataFrame, prices: DataFrame, products: DataFrame, stores: DataFrame, cycle: Cycle
 ) -> DataFrame:

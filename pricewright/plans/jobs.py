@@ -7,9 +7,11 @@ this order; aggregating or recommending the same cycle twice leaves the same dat
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.functions.calendar import Cycle, latest
@@ -19,7 +21,8 @@ from pricewright.sources import dimensions, logs, registry, scratch, tables
 
 @dataclass(frozen=True)
 class Locations:
-    """Where inputs are and results go."""
+    """Where inputs are and results go. Names of files and folders, and, further down, of
+    tables and views."""
 
     raw: str
     parameters: str
@@ -73,11 +76,9 @@ def aggregate(spark: SparkSession, at: Locations, cycle: Cycle, seed: int = 1) -
         logs.read_price_changes(spark, logs.cycle_globs(at.raw, cycle, "prices"))
     )
     table = sales.aggregate(sold, prices, products, experiment.for_join(groups), cycle)
-    tables.write_weeks(table, at.sales)
-    written = tables.read_weeks(spark, at.sales).where(
-        F.col("week_start").between(F.lit(cycle.start), F.lit(cycle.end))
-    )
-    tables.save_weeks_table(written, "df_sales")
+    tables.write_weeks(table, at.sales, cycle)
+    written = tables.read_weeks(spark, at.sales).where(F.col(tables.WRITTEN_BY) == F.lit(cycle.start))
+    tables.save_weeks_table(written, "df_sales", cycle)
     seconds = time.monotonic() - began
     reports.log_step(spark, "df_time", reports.AGGREGATION, seconds, str(cycle.latest))
 
@@ -89,7 +90,7 @@ def train(
     if not registry.should_train(spark, at.models, first_time):
         return False
     began = time.monotonic()
-    weekly = tables.read_weeks(spark, at.sales)
+    weekly = sales.add_up(tables.read_weeks(spark, at.sales))
     tables.overwrite(features.price_features(weekly), at.training_rows)
     rows = spark.read.parquet(at.training_rows)
     forest = demand.train(rows, seed, **settings)
@@ -102,20 +103,38 @@ def train(
     return True
 
 
-def recommend(spark: SparkSession, at: Locations, cycle: Cycle, weeks_ahead: int = 0) -> None:
+@dataclass(frozen=True)
+class Pricing:
+    """Settings of a price search."""
+
+    weeks_ahead: int = 0
+    prices: int = candidates.PRICES
+    group: tuple[str, ...] = features.GROUP
+    allowed: Callable[[Column], Column] | None = None
+
+
+def recommend(
+    spark: SparkSession, at: Locations, cycle: Cycle, settings: Pricing = Pricing()
+) -> None:
     """Recommended prices of the treatment stores for the week after the cycle."""
     began = time.monotonic()
-    weekly = tables.read_weeks(spark, at.sales)
-    offered = candidates.products(
-        experiment.treated(latest(weekly, cycle)), cycle, weeks_ahead=weeks_ahead
-    )
+    last = sales.add_up(latest(tables.read_weeks(spark, at.sales), cycle))
+    offered = candidates.products(experiment.treated(last), cycle, settings.weeks_ahead)
     products = scratch.stage(offered, "products")
+    if products.isEmpty():
+        raise ValueError(f"no treatment store sold anything in the week of {cycle.latest}")
     model = demand.Forest(registry.load_latest(spark, at.models))
-    tables.write_weeks(optimize.recommend(products, model), at.recommendations)
-    target = products.agg(F.max("week_start").alias("w")).scalar()
-    written = tables.read_weeks(spark, at.recommendations).where(F.col("week_start") == target)
+    chosen = optimize.recommend(
+        products, model, settings.group, settings.prices, settings.allowed
+    )
+    tables.write_weeks(chosen, at.recommendations, cycle)
+    target = cycle.latest + timedelta(days=cycle.days * (settings.weeks_ahead + 1))
+    written = tables.read_weeks(spark, at.recommendations).where(
+        (F.col(tables.WRITTEN_BY) == F.lit(cycle.start)) & (F.col("week_start") == F.lit(target))
+    )
     tables.export_prices(written, at.exports, cycle)
-    tables.save_weeks_table(written, "df_opt")
+    tables.save_weeks_table(written, "df_opt", cycle)
+    scratch.release(spark)
     seconds = time.monotonic() - began
     reports.log_step(spark, "df_time", reports.OPTIMIZATION, seconds, str(cycle.latest))
     finished = reports.step_times(tables.read_table(spark, "df_time"))
@@ -126,7 +145,7 @@ def views(spark: SparkSession, at: Locations) -> None:
     """Results as views for ad-hoc SQL."""
     tables.register(
         {
-            "Aggregated_Sales_Data": tables.read_weeks(spark, at.sales),
+            "Aggregated_Sales_Data": sales.add_up(tables.read_weeks(spark, at.sales)),
             "Optimization_Result_Data": tables.read_weeks(spark, at.recommendations),
             "Sales_Aggregation": tables.read_table(spark, "df_sales"),
             "Optimization_Results": tables.read_table(spark, "df_opt"),

@@ -7,12 +7,14 @@ settled to a few digits. Dates come out as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.functions.calendar import (
     TIMESTAMP_FORMAT,
+    Cycle,
     latest,
     price_days,
     sales_days,
@@ -182,8 +184,114 @@ def append_twice(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.folder(spark, "weeks")
     weekly = sales.weekly_sales(star_schema.sales(spark, folder), CYCLE)
     for _ in range(2):
-        tables.write_weeks(weekly, path)
-    return _text(tables.read_weeks(spark, path))
+        tables.write_weeks(weekly, path, CYCLE)
+    return _text(tables.read_weeks(spark, path).drop(tables.WRITTEN_BY))
+
+
+def _two_cycles(spark: SparkSession, folder: str) -> list[tuple[DataFrame, Cycle]]:
+    """Weekly sales as two cycles deliver them; first items sold in the month before the border are late."""
+    border = CYCLE.start + timedelta(days=7 * CYCLE.days)
+    sold = star_schema.sales(spark, folder)
+    late = (F.col("l_linenumber") == 1) & (F.datediff(F.lit(border), "sale_day") <= 30)
+    first = (F.col("sale_day") < F.lit(border)) & ~late
+    cycles = Cycle(CYCLE.start, border, CYCLE.days), Cycle(border, CYCLE.end, CYCLE.days)
+    return [
+        (sales.weekly_sales(sold.where(part), cycle), cycle)
+        for part, cycle in zip((first, ~first), cycles, strict=True)
+    ]
+
+
+def late_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Two cycles written one after another, each twice; late sales add to the weeks of the first."""
+    path = scratch.folder(spark, "weeks")
+    first, second = _two_cycles(spark, folder)
+    for weekly, cycle in (first, second, second, first):
+        tables.write_weeks(weekly, path, cycle)
+    return _text(sales.add_up(tables.read_weeks(spark, path)))
+
+
+def catalog_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through a catalog table."""
+    path = scratch.folder(spark, "weeks-table")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    first, second = _two_cycles(spark, folder)
+    for weekly, cycle in (first, second, second, first):
+        tables.save_weeks_table(weekly, name, cycle, path)
+    return _text(sales.add_up(tables.read_table(spark, name)))
+
+
+def stored_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of stores that a file lists, built and stored once and then read."""
+    at = scratch.folder(spark, "stores")
+    made = star_schema.stores(spark, folder).select(*dimensions.STORE_FIELDS)
+    made.write.option("header", True).csv(f"{at}/stores")
+    listed = dimensions.read_stores(spark, f"{at}/stores")
+
+    def build() -> DataFrame:
+        return experiment.assign_groups(experiment.cluster_by_centers(listed, CENTERS), SEED)
+
+    def never() -> DataFrame:
+        raise AssertionError("stored groups are not built again")
+
+    experiment.load_or_assign(spark, f"{at}/groups", build)
+    groups = experiment.load_or_assign(spark, f"{at}/groups", never)
+    return groups.select("store_id", "avg_hhi", "avg_traffic", "group_val")
+
+
+def training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Training rows stored, stored again and read."""
+    path = scratch.folder(spark, "training")
+    rows = features.price_features(aggregated(spark, folder))
+    for _ in range(2):
+        tables.overwrite(rows, path)
+    return _text(spark.read.parquet(path).select("week_start", "store_id", "product_id", "sales", "price"))
+
+
+def step_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Run times appended to a catalog table in two parts: here the runs of a step and day count."""
+    path = scratch.folder(spark, "steps")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    lines = events.groupBy(
+        F.col("event_type").alias("step"), F.col("ts").cast("date").cast("string").alias("exec_date")
+    ).agg(F.count("*").cast("double").alias("time"))
+    early = F.col("exec_date") < F.lit(lines.agg(F.max("exec_date")).first()[0])
+    for part in (lines.where(early), lines.where(~early)):
+        reports.log_steps(part, name, path)
+    return tables.read_table(spark, name)
+
+
+def published_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Two small forests published one after the other: the gate, the newest one and its scores."""
+    root = scratch.folder(spark, "models")
+    rows = scratch.stage(features.price_features(aggregated(spark, folder)), "training")
+    before = registry.should_train(spark, root, first_time=True)
+    forests = [demand.train(rows, seed, trees=3, depth=4) for seed in (1, 2)]
+    paths = [registry.publish(f.model, spark, root) for f in forests]
+    name = root.rsplit("/", 1)[-1].replace("-", "_")
+    for f in forests:
+        fitted = demand.evaluate(demand.score(f, rows))
+        logged = fitted.withColumn("model_time", F.lit("newest"))
+        registry.log_metrics(logged, name, f"{root}-metrics")
+    loaded = demand.Forest(registry.load_latest(spark, root))
+    key = ["week_start", "store_id", "product_id"]
+    own = demand.score(forests[1], rows).select(*key, "prediction")
+    again = demand.score(loaded, rows).select(*key, F.col("prediction").alias("again"))
+    equal = own.join(again, key).where(F.col("prediction") == F.col("again"))
+    lines = tables.read_table(spark, name).agg(
+        F.count("*").alias("metric_lines"), (F.min("R2") > 0).cast("int").alias("fits")
+    )
+    gates = (
+        before,
+        not registry.should_train(spark, root, first_time=True),
+        registry.should_train(spark, root, first_time=False),
+        registry.latest_path(spark, root) == paths[1],
+    )
+    names = ("trains_first", "then_not_first", "then_again", "newest_found")
+    return equal.agg(F.count("*").alias("equal_scores")).join(lines).select(
+        *[F.lit(int(g)).alias(n) for g, n in zip(gates, names, strict=True)],
+        "equal_scores", "metric_lines", "fits",
+    )
 
 
 def export_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,7 +355,25 @@ def split_stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def store_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    return experiment.cluster_stores(star_schema.stores(spark, folder))
+    """Is the mean of a store's cluster the nearest one? Where k-means has ended, for every store."""
+    found = scratch.stage(experiment.cluster_stores(star_schema.stores(spark, folder)), "clusters")
+    x, y = (F.col(c) for c in experiment.STANDARDIZED)
+    means = found.groupBy("cluster_val").agg(F.avg(x).alias("mx"), F.avg(y).alias("my"))
+    # At most three rows.
+    apart = [
+        F.struct(
+            ((x - m["mx"]) * (x - m["mx"]) + (y - m["my"]) * (y - m["my"])).alias("d"),
+            F.lit(m["cluster_val"]).alias("cluster_val"),
+        )
+        for m in means.collect()
+    ]
+    nearest = F.array_min(F.array(*apart))["cluster_val"]
+    return found.select("store_id", (nearest == F.col("cluster_val")).cast("int").alias("settled"))
+
+
+def encoded_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers and one-hot slots of the categories that the forest learns from."""
+    return demand.encode(features.price_features(aggregated(spark, folder)))
 
 
 # Features and demand.
@@ -281,18 +407,26 @@ def model_time(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def forest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales of every row the forest can score, and whether the prediction lies in their range."""
     rows = scratch.stage(features.price_features(aggregated(spark, folder)), "training")
     scored = demand.score(demand.train(rows), rows)
+    ends = rows.where("price IS NOT NULL").agg(F.min("sales"), F.max("sales")).first()
+    inside = F.col("prediction").between(ends[0], ends[1]).cast("int")
     return _text(
-        scored.select("week_start", "store_id", "product_id", "sales", "prediction")
+        scored.select("week_start", "store_id", "product_id", "sales", inside.alias("in_range"))
     )
 
 
 def forest_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    """One price for every offered product, by the forest."""
     weekly = scratch.stage(aggregated(spark, folder), "weekly")
     forest = demand.train(features.price_features(weekly))
     products = candidates.products(experiment.treated(latest(weekly, CYCLE)), CYCLE)
-    return _text(optimize.recommend(scratch.stage(products, "products"), forest))
+    chosen = optimize.recommend(scratch.stage(products, "products"), forest)
+    fits = F.col("price").between(F.col("cost"), F.col("msrp")) | (F.col("pred_demand") >= 0)
+    return _text(
+        chosen.select("week_start", "store_id", "department_id", "product_id", fits.cast("int").alias("fits"))
+    )
 
 
 # Candidates and optimisation.
@@ -332,8 +466,8 @@ def valid_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidates of the latest week, the one that is priced."""
-    grid = candidates.expand(MODEL.prepare(offered(spark, folder, every_week=False)))
+    """Candidates of every week, in treatment stores, the ones that are priced."""
+    grid = candidates.expand(MODEL.prepare(offered(spark, folder, every_week=True)))
     return _text(
         candidates.score(grid, MODEL).select(
             *features.GROUP,
@@ -399,6 +533,17 @@ def elasticity(spark: SparkSession, folder: str) -> DataFrame:
     return curves.withColumn("elasticity", settle(F.col("elasticity")))
 
 
+def elasticity_by_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Elasticity of a department in each store."""
+    curves = reports.elasticity(aggregated(spark, folder), ["store_id", "department_id"])
+    return curves.withColumn("elasticity", settle(F.col("elasticity")))
+
+
+def recommended_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks for which prices are recommended."""
+    return _text(reports.weeks(_recommended(spark, folder, every_week=False)))
+
+
 def sales_by_price(spark: SparkSession, folder: str) -> DataFrame:
     points = reports.sales_by_price(aggregated(spark, folder), ["department_id", "product_id"])
     return points.withColumn("avg_sales", settle(F.col("avg_sales")))
@@ -440,6 +585,15 @@ QUERIES: dict[str, Query] = {
     "flatten_nested_sales": flatten_nested_sales,
     "flatten_price_changes": flatten_price_changes,
     "append_twice": append_twice,
+    "late_sales": late_sales,
+    "catalog_weeks": catalog_weeks,
+    "stored_groups": stored_groups,
+    "training_rows": training_rows,
+    "step_log": step_log,
+    "published_model": published_model,
+    "encoded_features": encoded_features,
+    "elasticity_by_store": elasticity_by_store,
+    "recommended_weeks": recommended_weeks,
     "export_prices": export_prices,
     "sql_views": sql_views,
     "preview_sales": preview_sales,

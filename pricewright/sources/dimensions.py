@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,16 +23,22 @@ def read_dimension(
 ) -> DataFrame:
     """A file with a header whose columns are renamed by position.
 
-    Categorical fields stay text without quotes, all others become doubles, null where they are no
-    numbers.
+    Categorical fields stay text without quotes, all others become doubles. An empty field is null; a
+    field that is no number is an error.
     """
+
+    def number(name: str) -> Column:
+        made = F.col(name).try_cast("double")
+        refused = F.raise_error(F.concat(F.lit(f"{name} is no number: "), F.col(name)))
+        return F.when(F.col(name).isNull() | made.isNotNull(), made).otherwise(refused.cast("double"))
+
     schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
     raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
     return raw.select(
         *[
             F.regexp_replace(name, '"', "").alias(name)
             if name in categorical
-            else F.col(name).try_cast("double").alias(name)
+            else number(name).alias(name)
             for name in fields
         ]
     )

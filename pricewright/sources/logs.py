@@ -78,7 +78,9 @@ def in_cycle(name: Column, cycle: Cycle, kind: str) -> Column:
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", one_per_file).json(path)
+    """Stops at a document that can't be read, naming its file, and doesn't pass over it."""
+    reader = spark.read.schema(schema).option("multiLine", one_per_file)
+    return reader.option("mode", "FAILFAST").json(path)
 
 
 def read_sales_logs(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:

@@ -62,6 +62,6 @@ def model_time(sales: DataFrame) -> DataFrame:
     return sales.agg(F.max("week_start").cast("string").alias("model_time"))
 
 
-def log_metrics(metrics: DataFrame, table: str) -> None:
+def log_metrics(metrics: DataFrame, table: str, path: str | None = None) -> None:
     """Append one line of (model_time, RMSE, R2)."""
-    tables.save_table(metrics.select("model_time", "RMSE", "R2"), table)
+    tables.save_table(metrics.select("model_time", "RMSE", "R2"), table, path=path)

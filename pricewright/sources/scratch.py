@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_staged: list[str] = []
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names.
 
@@ -32,4 +35,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Empty the tables staged so far. For the end of a job, when nothing reads them any more."""
+    nothing = spark.createDataFrame([], "empty int")
+    while _staged:
+        nothing.write.mode("overwrite").parquet(_staged.pop())

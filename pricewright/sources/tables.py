@@ -7,39 +7,59 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricewright.functions.calendar import Cycle
 
+#: Partition columns of week tables: the cycle that wrote the rows, and their week.
+WRITTEN_BY = "cycle_start"
+WEEK = "week_start"
+
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Is there a file or folder? Any other failure to look is an error and not a no."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    """Is there a Parquet table? Any other failure to look is an error and not a no."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def read_weeks(spark: SparkSession, path: str) -> DataFrame:
-    """A dataset partitioned by ``week_start``; a filter on the week reads only its directories."""
+    """A dataset of weeks; a filter on the week reads only its directories.
+
+    Each row names the cycle that wrote it. A week can hold rows of several cycles, as a cycle may
+    also deliver late sales of an earlier week; ``sales.add_up`` makes one row of them.
+    """
     df = spark.read.parquet(path)
-    return df.withColumn("week_start", F.col("week_start").cast("date"))
+    return df.withColumn(WEEK, F.col(WEEK).cast("date")).withColumn(
+        WRITTEN_BY, F.col(WRITTEN_BY).cast("date")
+    )
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_weeks(df: DataFrame, path: str) -> None:
-    """Write weeks, replacing exactly the weeks present in ``df``: running a job twice changes nothing.
+def write_weeks(df: DataFrame, path: str, cycle: Cycle) -> None:
+    """Write the weeks of a cycle, replacing all that this cycle wrote before and nothing else.
+
+    Rows of other cycles stay, those of the same week too: running a job twice changes nothing, and a
+    late sale is added to its week. The cycle is the outer partition, so a repeat also clears weeks
+    that it no longer has.
 
     The rebalance hint puts a week's rows together, splits a week too large for one task and
     merges small ones, so neither tiny files nor one huge writer task come about.
     """
     (
-        df.hint("rebalance", "week_start")
-        .write.partitionBy("week_start")
+        df.drop(WRITTEN_BY)
+        .hint("rebalance", WEEK)
+        .write.partitionBy(WEEK)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .parquet(f"{path.rstrip('/')}/{WRITTEN_BY}={cycle.start}")
     )
 
 
@@ -52,32 +72,38 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def save_table(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "append"
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "append",
+    path: str | None = None,
 ) -> None:
-    """Append to (or replace) a catalog table, partitioned as given when it is first made."""
+    """Append to (or replace) a catalog table, partitioned and placed as given when it is first made."""
     out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = out.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def save_weeks_table(df: DataFrame, name: str) -> None:
-    """Catalog table partitioned by week; weeks already present are replaced, others stay."""
+def save_weeks_table(df: DataFrame, name: str, cycle: Cycle, path: str | None = None) -> None:
+    """The same for a catalog table: all that this cycle wrote is replaced, all else stays.
+
+    The partitions to replace are named in the statement. ``path`` is where a new table's files go.
+    """
     spark = df.sparkSession
-    try:
-        columns = spark.table(name).columns
-    except AnalysisException:
-        save_table(df, name, ["week_start"])
-        return
-    # Inserting into a table heeds only the session's setting, not a writer option.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        df.select(*columns).hint("rebalance", "week_start").write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
+    body = [f for f in df.schema.fields if f.name not in (WRITTEN_BY, WEEK)]
+    if not spark.catalog.tableExists(name):
+        dated = [T.StructField(c, T.DateType()) for c in (WRITTEN_BY, WEEK)]
+        empty = spark.createDataFrame([], T.StructType([*body, *dated]))
+        writer = empty.write.format("parquet").partitionBy(WRITTEN_BY, WEEK)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
+    columns = [c for c in spark.table(name).columns if c != WRITTEN_BY]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({WRITTEN_BY} = DATE'{cycle.start}', {WEEK}) "
+        f"SELECT /*+ REBALANCE({WEEK}) */ * FROM {{rows}}",
+        rows=df.select(*columns),
+    )
 
 
 def suggested_prices(chosen: DataFrame) -> DataFrame:

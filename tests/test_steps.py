@@ -8,9 +8,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.functions.calendar import Cycle, latest
+from pricewright.functions.calendar import Cycle, latest, to_day
 from pricewright.operators import demand, experiment, features, reports, sales
-from pricewright.sources import dimensions, logs, registry, tables
+from pricewright.sources import dimensions, logs, registry, scratch, tables
 
 CYCLE = Cycle(date(2017, 1, 2), date(2017, 1, 16))
 
@@ -143,7 +143,7 @@ def test_log_files_of_the_cycle(spark, tmp_path):
 
 def test_dimension_file(spark, tmp_path):
     path = tmp_path / "products.csv"
-    path.write_text('"dep","br","prod","m","c"\n"d1","b1","p,1",10.5,4\nd2,b2,p2,odd,5\n')
+    path.write_text('"dep","br","prod","m","c"\n"d1","b1","p,1",10.5,4\nd2,b2,p2,,5\n')
     got = [tuple(r) for r in dimensions.read_products(spark, str(path)).collect()]
     assert got == [("d1", "b1", "p,1", 10.5, 4.0), ("d2", "b2", "p2", None, 5.0)]
 
@@ -157,6 +157,69 @@ def test_cycle_file(spark, tmp_path):
         dimensions.read_cycle(spark, str(path))
 
 
+EARLIER = Cycle(date(2016, 12, 19), date(2017, 1, 2))
+
+
+def test_late_sales_add_to_their_week(spark):
+    rows = [(date(2017, 1, 2), "1", "p", 3, 2.5, date(2017, 1, 2)), (date(2017, 1, 2), "1", "p", 1, None, date(2017, 1, 9))]
+    df = spark.createDataFrame(
+        rows, "week_start date, store_id string, product_id string, sales bigint, price double, cycle_start date"
+    )
+    assert [tuple(r) for r in sales.add_up(df).collect()] == [(date(2017, 1, 2), "1", "p", 4, 2.5)]
+
+
+def test_bad_input_stops_the_job(spark, tmp_path):
+    good = '{"SalesLogDateTime": "2017-01-02 00:00:00", "StoreID": "1", "Transactions": []}'
+    for name, text in (("cut", good[:40]), ("good", good)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text(text)
+    assert logs.read_sales_logs(spark, str(tmp_path / "good")).count() == 1
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        logs.read_sales_logs(spark, str(tmp_path / "cut")).collect()
+    times = spark.createDataFrame([("2017-01-02 10:00:00",), (None,), ("2017-01-0210:00:00",)], "t string")
+    assert [r[0] for r in times.select(to_day(F.col("t"))).collect()] == [date(2017, 1, 2), None, date(2017, 1, 2)]
+    with pytest.raises(Exception, match="unreadable time: noon"):
+        spark.createDataFrame([("noon",)], "t string").select(to_day(F.col("t"))).collect()
+    path = tmp_path / "products.csv"
+    path.write_text("d,b,p,m,c\nd1,b1,p1,,2.5\n")
+    assert dimensions.read_products(spark, str(path)).first()["msrp"] is None
+    path.write_text("d,b,p,m,c\nd1,b1,p1,cheap,2.5\n")
+    with pytest.raises(Exception, match="msrp is no number: cheap"):
+        dimensions.read_products(spark, str(path)).collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        sparkContext = type("C", (), {"getCheckpointDir": lambda self: None})()
+
+        def __init__(self, **settings):
+            self.conf = type("R", (), {"get": lambda self, k, d=None: settings.get(k, d)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.folder(Session(**{"spark.master": "yarn"}), "x")
+    given = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://shared/"}
+    assert scratch.folder(Session(**given), "x").startswith("hdfs://shared/x-")
+
+
+def test_staged_tables_are_released(spark):
+    staged = scratch.stage(spark.range(10), "ten")
+    path = scratch._staged[-1]
+    assert staged.count() == 10
+    scratch.release(spark)
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_encoding_and_training_repeat(spark):
+    rows = [(f"d{n % 2}", f"b{n % 3}", 1.0 + n, 2.0, 3.0, 1.0, 0.1, n % 5) for n in range(60)] + [("d1", "b0", 1.0, 2.0, 3.0, 1.0, 0.1, 1)]
+    columns = [*demand.CATEGORICAL, *demand.NUMERICAL, demand.LABEL]
+    df = spark.createDataFrame(rows, columns)
+    found = {(r.field, r.category): (r.rows, r.number, r.slot) for r in demand.encode(df).collect()}
+    assert found["department_id", "d1"] == (31, 0, 0) and found["department_id", "d0"] == (30, 1, 1)
+    assert found["brand_id", "b0"] == (21, 0, 0) and found["brand_id", "b1"] == (20, 1, 1)
+    trees = [demand.train(df.repartition(n), trees=4, depth=3).model.stages[-1].toDebugString for n in (2, 7)]
+    assert trees[0].split("\n", 1)[1] == trees[1].split("\n", 1)[1]
+
+
 def weekly_frame(spark, weeks):
     return spark.createDataFrame(
         [(date(2017, 1, d), "1", n) for d, n in weeks], "week_start date, store_id string, n int"
@@ -165,20 +228,23 @@ def weekly_frame(spark, weeks):
 
 def test_weeks_are_replaced_and_pruned(spark, tmp_path):
     path = str(tmp_path / "weeks")
-    tables.write_weeks(weekly_frame(spark, [(2, 1), (9, 2)]), path)
-    tables.write_weeks(weekly_frame(spark, [(9, 3), (9, 4)]), path)
+    tables.write_weeks(weekly_frame(spark, [(2, 1), (9, 2)]), path, EARLIER)
+    tables.write_weeks(weekly_frame(spark, [(2, 5), (9, 3), (9, 4)]), path, CYCLE)
+    tables.write_weeks(weekly_frame(spark, [(9, 3), (9, 4)]), path, CYCLE)
     df = tables.read_weeks(spark, path)
-    assert sorted((r["week_start"].day, r["n"]) for r in df.collect()) == [(2, 1), (9, 3), (9, 4)]
+    rows = [(2, 1), (9, 2), (9, 3), (9, 4)]
+    assert sorted((r["week_start"].day, r["n"]) for r in df.collect()) == rows
     plan = latest(df, CYCLE)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(week_start" in plan
-    assert latest(df, CYCLE).count() == 2
+    assert latest(df, CYCLE).count() == 3
 
 
 def test_catalog_tables(spark):
-    tables.save_weeks_table(weekly_frame(spark, [(2, 1), (9, 2)]), "weeks_table")
-    tables.save_weeks_table(weekly_frame(spark, [(9, 3)]), "weeks_table")
+    tables.save_weeks_table(weekly_frame(spark, [(2, 1), (9, 2)]), "weeks_table", EARLIER)
+    tables.save_weeks_table(weekly_frame(spark, [(2, 7), (9, 3)]), "weeks_table", CYCLE)
+    tables.save_weeks_table(weekly_frame(spark, [(9, 3)]), "weeks_table", CYCLE)
     got = sorted((r["week_start"].day, r["n"]) for r in tables.read_table(spark, "weeks_table").collect())
-    assert got == [(2, 1), (9, 3)]
+    assert got == [(2, 1), (9, 2), (9, 3)]
     reports.log_step(spark, "timings", "a", 1.5, "2017-01-02")
     reports.log_step(spark, "timings", "b", 2.0, "2017-01-02")
     assert spark.table("timings").count() == 2
@@ -195,6 +261,18 @@ def test_price_export(spark, tmp_path):
     assert [r[0] for r in spark.read.text(path).collect()] == ["a,1,2017-01-16 00:00:00,2.5"]
 
 
+def test_step_times_keep_timings_without_a_place(spark):
+    df = spark.createDataFrame([("a", 1.0, "d1"), (None, 2.0, "d1"), ("a", 3.0, None), (None, 4.0, None)], reports.STEP_TIMES)
+    rows = [("a", "d1", 1.0), (None, "d1", 2.0), ("a", None, 3.0), (None, None, 4.0)]
+    assert sorted(map(tuple, reports.step_times(df).collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_standardizing_makes_no_subquery(spark):
+    df = spark.createDataFrame([("1", 1.0, 5.0), ("2", 3.0, 5.0)], "store_id string, avg_hhi double, avg_traffic double")
+    plan = experiment.cluster_by_centers(df, ((0.0, 0.0), (1.0, 1.0)))._jdf.queryExecution().executedPlan().toString()
+    assert "ubquery" not in plan
+
+
 def test_step_times_are_complete(spark):
     df = spark.createDataFrame(
         [("a", 1.0, "d1"), ("a", 2.0, "d2"), ("b", 3.0, "d2")], reports.STEP_TIMES
