@@ -41,14 +41,9 @@ PRODUCT = (
 
 
 def products(sales: DataFrame, cycle: Cycle, weeks_ahead: int = 0) -> DataFrame:
-    """Distinct products to price, dated to the week they are priced for.
-
-    Brought together by competing group first, which serves both the distinct and the group steps.
-    Weekly sales hold a product once, so a distinct before the shuffle would save nothing.
-    """
+    """Distinct products to price, dated to the week they are priced for."""
     target = shift_weeks(F.col("week_start"), weeks_ahead + 1, cycle)
-    dated = sales.select("store_id", *PRODUCT, target.alias("week_start"))
-    return dated.repartition(*GROUP).distinct()
+    return sales.select("store_id", *PRODUCT, target.alias("week_start")).distinct()
 
 
 def group_ranges(df: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -111,33 +106,32 @@ def on_grid(
 ) -> DataFrame:
     """Product rows with the group's range, their feasible price indexes and the feasible index sums.
 
-    Fails if a product is in a group twice. Windows, since they all share one shuffle by group and a
-    group makes far more candidates than it has rows here.
+    Fails if a product is in a group twice. Aggregates joined back and not windows: a group is a row of
+    partial results in the shuffle, and a join splits a group of very many products. ``df`` is read
+    three times, so a stored table is best.
     """
-    in_group = W.partitionBy(*group)
-    repeated = F.lag("product_id").over(in_group.orderBy("product_id")) == F.col("product_id")
-    message = F.concat(F.lit("product twice in a competing group: "), F.col("product_id"))
-    ranged = df.select(
-        *df.columns,
-        F.min("cost").over(in_group).alias("min_cost"),
-        F.max("msrp").over(in_group).alias("max_msrp"),
-        F.count("*").over(in_group).alias("count"),
-        F.when(repeated, F.raise_error(message).cast("int")).otherwise(0).alias("_unique"),
+    each = df.groupBy(*group, "product_id").agg(
+        F.min("cost").alias("cost"), F.max("msrp").alias("msrp"), F.count("*").alias("times")
+    )
+    ranges = each.groupBy(*group).agg(
+        F.min("cost").alias("min_cost"),
+        F.max("msrp").alias("max_msrp"),
+        F.sum("times").alias("count"),
+        F.max(F.when(F.col("times") > 1, F.col("product_id"))).alias("_twice"),
     )
+    message = F.concat(F.lit("product twice in a competing group: "), F.col("_twice"))
+    once = F.when(F.col("_twice").isNotNull(), F.raise_error(message).cast("bigint"))
+    known = ranges.withColumn("count", F.coalesce(once, F.col("count"))).drop("_twice")
     prices = feasible_prices(
         F.col("min_cost"), F.col("max_msrp"), F.col("cost"), F.col("msrp"), size, allowed
     )
-    listed = ranged.withColumn("feasible", prices)
-    low, high = F.array_min("feasible.price_idx"), F.array_max("feasible.price_idx")
-    return listed.select(
-        *df.columns,
-        "min_cost",
-        "max_msrp",
-        "count",
-        "feasible",
-        F.sum(low + F.col("_unique")).over(in_group).cast("int").alias("min_sum"),
-        F.sum(high).over(in_group).cast("int").alias("max_sum"),
+    listed = df.join(known, list(group)).withColumn("feasible", prices)
+    ends = listed.groupBy(*group).agg(
+        F.sum(F.array_min("feasible.price_idx")).cast("int").alias("min_sum"),
+        F.sum(F.array_max("feasible.price_idx")).cast("int").alias("max_sum"),
     )
+    columns = [*df.columns, "min_cost", "max_msrp", "count", "feasible", "min_sum", "max_sum"]
+    return listed.join(ends, list(group)).select(*columns)
 
 
 def mark_valid(
@@ -157,67 +151,81 @@ def mark_valid(
     )
 
 
-def expand(
+def sums(
     df: DataFrame,
     group: Sequence[str] = GROUP,
     size: int = PRICES,
     allowed: Callable[[Column], Column] | None = None,
-    reachable: bool = False,
     partitions: int | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Candidate rows: feasible prices only, at price sums that some choice of prices can reach.
-
-    With ``reachable``, also only prices that the other products can complete to the price sum.
+    """A row per product and price sum that some choice of prices can reach, with its ``feasible``
+    prices (``price_idx``, ``price``, ``discount``, ``rl_price``, and ``reachable``: can the others
+    complete it to the sum).
 
-    Product rows are shuffled, candidates never are: first by group, then by group and slice. A slice
-    is a run of price sums that makes about ``SLICE_ROWS`` candidates, so an ordinary group is one
-    slice, and a huge group is spread over many tasks. Later steps that group by these columns and
-    more find the rows in place.
+    Product rows are shuffled by group and slice. A slice is a run of price sums that makes about
+    ``SLICE_ROWS`` candidates, so an ordinary group is one slice, and a huge group is spread over many
+    tasks. Later steps that group by these columns and more find the rows in place. With ``only``, the
+    sums that its rows name, each placed by itself.
 
-    The second shuffle has an explicit partition number: product rows are few bytes, and left to
-    adaptive execution they would be merged into a handful of tasks that then make all candidates.
+    The shuffle has an explicit partition number: product rows are few bytes, and left to adaptive
+    execution they would be merged into a handful of tasks that then make all candidates.
     """
     count = partitions or shuffle_partitions(df)
     placed = on_grid(df, group, size, allowed)
-    width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_ROWS) / (F.col("count") * size))).cast("int")
-    first, last = F.col("slice") * F.col("width"), (F.col("slice") + 1) * F.col("width") - 1
-    sliced = (
-        placed.withColumn("width", width)
-        .withColumn("slice", F.explode(F.expr("sequence(min_sum div width, max_sum div width)")))
-        .withColumn("slice", F.col("slice").cast("int"))
-        .repartition(count, *group, "slice")
-    )
-    # What depends on the price sum or on the price alone is computed before rows multiply, which also
-    # keeps the generated code per candidate short.
-    discounts = F.transform(
+    if only is None:
+        width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_ROWS) / (F.col("count") * size))).cast("int")
+        first, last = F.col("slice") * F.col("width"), (F.col("slice") + 1) * F.col("width") - 1
+        run = F.sequence(F.greatest(F.col("min_sum"), first), F.least(F.col("max_sum"), last))
+        rows = (
+            placed.withColumn("width", width)
+            .withColumn("slice", F.explode(F.expr("sequence(min_sum div width, max_sum div width)")))
+            .withColumn("slice", F.col("slice").cast("int"))
+            .repartition(count, *group, "slice")
+            .withColumn("sum_idx", F.explode(run))
+            .drop("width")
+        )
+    else:
+        named = only.select(*group, "sum_idx").withColumn("slice", F.col("sum_idx"))
+        rows = placed.join(named, list(group)).repartition(count, *group, "slice")
+    # What depends on the price sum or on the price alone is computed before rows multiply.
+    rest_low = F.col("min_sum") - F.array_min("feasible.price_idx")
+    rest_high = F.col("max_sum") - F.array_max("feasible.price_idx")
+    prices = F.transform(
         "feasible",
         lambda p: F.struct(
             p["price_idx"].alias("price_idx"),
             p["price"].alias("price"),
             discount(F.col("msrp"), p["price"]).alias("discount"),
+            relative_price(p["price"], F.col("count"), F.col("price_sum")).alias("rl_price"),
+            (F.col("sum_idx") - p["price_idx"]).between(rest_low, rest_high).alias("reachable"),
         ),
     )
-    rest_low = F.col("min_sum") - F.array_min("feasible.price_idx")
-    rest_high = F.col("max_sum") - F.array_max("feasible.price_idx")
-    sums = (
-        sliced.withColumn("feasible", discounts)
-        .withColumn("rest_low", rest_low)
-        .withColumn("rest_high", rest_high)
-        .withColumn(
-            "sum_idx",
-            F.explode(
-                F.sequence(F.greatest(F.col("min_sum"), first), F.least(F.col("max_sum"), last))
-            ),
-        )
-        .withColumn("price_sum", _price_sum(size))
+    return (
+        rows.withColumn("price_sum", _price_sum(size))
+        .withColumn("feasible", prices)
+        .drop("min_sum", "max_sum")
     )
-    kept = [c for c in sums.columns if c not in ("feasible", "min_sum", "max_sum", "width")]
-    rows = sums.select(*kept, F.inline("feasible"))
-    if reachable:
-        rest = F.col("sum_idx") - F.col("price_idx")
-        rows = rows.where(rest.between(F.col("rest_low"), F.col("rest_high")))
-    rl_price = relative_price(F.col("price"), F.col("count"), F.col("price_sum"))
-    return rows.drop("rest_low", "rest_high").withColumn("rl_price", rl_price)
+
+
+def expand(
+    df: DataFrame,
+    group: Sequence[str] = GROUP,
+    size: int = PRICES,
+    allowed: Callable[[Column], Column] | None = None,
+    reachable: bool = False,
+    partitions: int | None = None,
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """Candidate rows: feasible prices only, at price sums that some choice of prices can reach.
+
+    With ``reachable``, also only prices that the other products can complete to the price sum.
+    Candidates are never shuffled.
+    """
+    listed = sums(df, group, size, allowed, partitions, only)
+    kept = [c for c in listed.columns if c != "feasible"]
+    rows = listed.select(*kept, F.inline("feasible"))
+    return (rows.where("reachable") if reachable else rows).drop("reachable")
 
 
 def score(candidates: DataFrame, model: Demand) -> DataFrame:

@@ -6,6 +6,7 @@ Both offer ``prepare``, which does once per product what does not depend on the
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -13,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Model inputs, in the order of the feature vector.
@@ -46,11 +47,15 @@ class Linear:
     def prepare(self, products: DataFrame) -> DataFrame:
         return products
 
-    def score(self, candidates: DataFrame) -> DataFrame:
+    def demand(self, value: Callable[[str], Column]) -> Column:
+        """Demand from the values of the features."""
         total = F.lit(self.base)
         for name in NUMERICAL:
-            total = total + F.lit(getattr(self, name)) * F.col(name)
-        return candidates.withColumn("prediction", total)
+            total = total + F.lit(getattr(self, name)) * value(name)
+        return total
+
+    def score(self, candidates: DataFrame) -> DataFrame:
+        return candidates.withColumn("prediction", self.demand(F.col))
 
 
 @dataclass(frozen=True)

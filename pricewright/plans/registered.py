@@ -432,6 +432,11 @@ def forest_recommendations(spark: SparkSession, folder: str) -> DataFrame:
 # Candidates and optimisation.
 
 
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Products to price in treatment stores, of every week in turn, stored."""
+    return scratch.stage(offered(spark, folder, every_week=True), "products")
+
+
 def _every_product(spark: SparkSession, folder: str) -> DataFrame:
     return candidates.products(aggregated(spark, folder), CYCLE)
 
@@ -453,7 +458,7 @@ def price_sum_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def valid_prices(spark: SparkSession, folder: str) -> DataFrame:
-    marked = candidates.mark_valid(_every_product(spark, folder))
+    marked = candidates.mark_valid(scratch.stage(_every_product(spark, folder), "products"))
     return _text(
         marked.select(
             *features.GROUP,
@@ -467,7 +472,7 @@ def valid_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates of every week, in treatment stores, the ones that are priced."""
-    grid = candidates.expand(MODEL.prepare(offered(spark, folder, every_week=True)))
+    grid = candidates.expand(MODEL.prepare(_stored(spark, folder)))
     return _text(
         candidates.score(grid, MODEL).select(
             *features.GROUP,
@@ -485,7 +490,7 @@ def scored_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return optimize.bounds(offered(spark, folder, every_week=True), MODEL)
+    return optimize.bounds(_stored(spark, folder), MODEL)
 
 
 def lp_bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -501,12 +506,12 @@ def lower_bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ip_by_sum(spark: SparkSession, folder: str) -> DataFrame:
-    solved = optimize.solve_sums(offered(spark, folder, every_week=True), MODEL)
+    solved = optimize.solve_sums(_stored(spark, folder), MODEL)
     return _text(solved.select(*features.GROUP, "sum_idx", "ip"))
 
 
 def best_price_sum(spark: SparkSession, folder: str) -> DataFrame:
-    best = optimize.best_sum(offered(spark, folder, every_week=True), MODEL)
+    best = optimize.best_sum(_stored(spark, folder), MODEL)
     return _text(best.select(*features.GROUP, "sum_idx", F.col("value").alias("ip"), "count"))
 
 
@@ -551,7 +556,7 @@ def sales_by_price(spark: SparkSession, folder: str) -> DataFrame:
 
 def mape(spark: SparkSession, folder: str) -> DataFrame:
     weekly = scratch.stage(aggregated(spark, folder), "weekly")
-    products = candidates.products(experiment.treated(weekly), CYCLE)
+    products = scratch.stage(candidates.products(experiment.treated(weekly), CYCLE), "products")
     error = reports.mape(optimize.recommend(products, MODEL), weekly)
     return _text(error.withColumn("mape", settle(F.col("mape"))))
 
