@@ -89,8 +89,11 @@ def crops_of(text: str, draw: np.random.Generator) -> list[bytes]:
     return out
 
 
-def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 6) -> Model:
-    """Adam on the cross-entropy. The gradient of a pooled filter reaches its best position only."""
+def train(
+    texts: list[str], labels: list[str], seed: int = 7, epochs: int = 6, least_steps: int = 600
+) -> Model:
+    """Adam on the cross-entropy, for more epochs where there are few crops. The gradient of a pooled
+    filter reaches its best position only."""
     draw = np.random.default_rng(seed)
     languages = sorted(set(labels))
     number = {name: n for n, name in enumerate(languages)}
@@ -112,7 +115,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 6) -
     counts = np.bincount(y, minlength=len(languages))
     share = (len(y) / (len(languages) * counts)).astype(np.float32)
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-least_steps * 64 // len(x)))):
         order = draw.permutation(len(x))
         for low in range(0, len(x), 64):
             rows = order[low : low + 64]

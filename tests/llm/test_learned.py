@@ -47,7 +47,7 @@ def test_windows_cover_every_byte():
 
 
 def test_convolution_by_tables_equals_the_plain_one():
-    model = language.train(["abc def " * 9, "xyz uvw " * 9] * 8, ["a", "x"] * 8, epochs=1)
+    model = language.train(["abc def " * 9, "xyz uvw " * 9] * 8, ["a", "x"] * 8, epochs=1, least_steps=1)
     windows = language.windows_of("some bytes of a window that is long enough ".encode() * 9)
     spans = windows.shape[1] - len(model.steps) + 1
     plain = np.full((len(windows), model.steps.shape[2]), -np.inf)
