@@ -54,22 +54,24 @@ def store_groups(spark: SparkSession, folder: str) -> DataFrame:
     return experiment.assign_groups(clustered, SEED)
 
 
-def aggregated(spark: SparkSession, folder: str) -> DataFrame:
+def aggregated(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> DataFrame:
     return sales.aggregate(
         star_schema.sales(spark, folder),
-        star_schema.price_changes(spark, folder),
+        star_schema.price_changes(spark, folder, cycle),
         star_schema.products(spark, folder),
         experiment.for_join(store_groups(spark, folder)),
-        CYCLE,
+        cycle,
     )
 
 
-def offered(spark: SparkSession, folder: str, every_week: bool) -> DataFrame:
+def offered(
+    spark: SparkSession, folder: str, every_week: bool, cycle: Cycle = CYCLE
+) -> DataFrame:
     """Products to price in treatment stores: of the latest week, or of every week in turn."""
-    weekly = aggregated(spark, folder)
+    weekly = aggregated(spark, folder, cycle)
     if not every_week:
-        weekly = latest(weekly, CYCLE)
-    return candidates.products(experiment.treated(weekly), CYCLE)
+        weekly = latest(weekly, cycle)
+    return candidates.products(experiment.treated(weekly), cycle)
 
 
 # Sources and sinks.
