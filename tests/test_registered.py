@@ -6,11 +6,12 @@ import pytest
 from compare import database, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
-from pricewright.operators import candidates, optimize
+from pricewright.operators import candidates, experiment, optimize
 from pricewright.plans import registered
+from pricewright.sources import scratch, star_schema
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"store_clusters", "forest_scores", "forest_recommendations"}
+OWN = sorted(set(oracle_sql()) & set(registered.QUERIES))
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +19,12 @@ def con():
     return database(FOLDER)
 
 
-def test_all_but_the_learned_queries_have_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+def test_all_queries_of_the_library_have_sql():
+    assert OWN == sorted(registered.QUERIES)
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", OWN)
 def test_same_rows_as_sql(spark, con, name):
     assert difference(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
 
@@ -33,7 +34,7 @@ def test_entry(spark):
 
 
 def test_store_clusters(spark):
-    rows = queries()["store_clusters"](spark, FOLDER).collect()
+    rows = experiment.cluster_stores(star_schema.stores(spark, FOLDER)).collect()
     assert len({r["cluster_val"] for r in rows}) == 3
     assert len({r["store_id"] for r in rows}) == len(rows)
 
@@ -55,13 +56,11 @@ def test_plans_stay_in_the_jvm_and_make_no_products(spark, name):
 
 
 def test_candidates_are_never_shuffled(spark):
-    """Group, slice, survivors by group: no exchange lies between candidates and packed sums."""
-    products = registered.offered(spark, FOLDER, every_week=True)
-    packed = optimize.pack(candidates.score(candidates.expand(products), registered.MODEL))
+    """Between candidates and the bounds of their sums lies no exchange."""
+    products = scratch.stage(registered.offered(spark, FOLDER, every_week=True), "products")
+    bounds = optimize.bounds(products, registered.MODEL)
 
     def exchanges(df):
         return plan_of(df).count("Exchange hashpartitioning")
 
-    assert exchanges(packed) == exchanges(candidates.expand(products))
-    assert exchanges(candidates.expand(products)) == exchanges(products) + 1
-    assert exchanges(optimize.best_sum(products, registered.MODEL)) == exchanges(packed) + 1
+    assert exchanges(bounds) == exchanges(candidates.sums(products)) <= exchanges(candidates.on_grid(products)) + 1
