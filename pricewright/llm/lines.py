@@ -7,6 +7,10 @@ Counts are added up before the shuffle, so a hot host or line is a few rows. A h
 at most (lines of an average page) / ``ratio`` entries, so its list is small; pages meet it in a join
 that adaptive execution splits where a host is hot.
 
+Where pages may be whole copies of each other, ``copies_once`` counts equal texts of a host once, and
+``most`` leaves a page alone that would lose more than that share of its lines: it is a copy of others and
+not a page with boilerplate.
+
 Edge cases: a null text stays null, an empty one empty; a page without a host keeps its lines; lines
 are compared without white space at their ends; blank lines are no lines and stay; repeated rows are
 separate pages; an empty table gives an empty result.
@@ -44,15 +48,25 @@ def _trimmed(line: Column) -> Column:
 
 
 def boilerplate(
-    df: DataFrame, site: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    df: DataFrame,
+    site: str,
+    text: str,
+    ratio: float = RATIO,
+    least_pages: int = LEAST_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``site`` and the array ``marks`` of its boilerplate lines' hashes; sites without any are absent."""
     pages = df.select(F.col(site).alias("site"), F.col(text).alias("text")).where(
         F.col("site").isNotNull()
     )
+    pages = pages.select("site", F.array_distinct(_marks(F.col("text"))).alias("marks"), F.xxhash64("text").alias("h"))
+    if copies_once:
+        # One struct as key, so that a site is many tasks.
+        once = pages.groupBy(F.struct("site", "h").alias("k")).agg(F.first("marks").alias("marks"))
+        pages = once.select("k.site", "marks")
     totals = pages.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
     seen = (
-        pages.select("site", F.explode(F.array_distinct(_marks(F.col("text")))).alias("mark"))
+        pages.select("site", F.explode("marks").alias("mark"))
         .groupBy("site", "mark")
         .agg(F.count(F.lit(1)).alias("on"))
         .where(F.col("on") >= F.lit(max(2.0, ratio * least_pages)))
@@ -76,12 +90,14 @@ def drop_lines(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     dropped: str | None = None,
+    copies_once: bool = False,
+    most: float = 1.0,
 ) -> DataFrame:
     """``df`` with the boilerplate lines taken out of ``text``; with their number in ``dropped``.
 
     A column named as ``dropped`` is replaced, all others stay as they are.
     """
-    found = boilerplate(df, site, text, ratio, least_pages)
+    found = boilerplate(df, site, text, ratio, least_pages, copies_once)
     theirs, marks = common.fresh(df.columns, "site"), common.fresh(df.columns, "marks")
     lines = common.fresh(df.columns, "lines")
     kept = F.filter(
@@ -94,6 +110,10 @@ def drop_lines(
     ).withColumn(lines, F.split(text, "\n"))
     cut = common.fresh([*joined.columns], "kept")
     out = joined.withColumn(cut, F.when(F.col(marks).isNotNull(), kept).otherwise(F.col(lines)))
+    if most < 1:
+        lost = F.size(lines) - F.size(cut)
+        told = F.size(F.filter(lines, lambda x: F.length(_trimmed(x)) > 0))
+        out = out.withColumn(cut, F.when(lost > told * F.lit(most), F.col(lines)).otherwise(F.col(cut)))
     columns = [
         F.when(F.col(text).isNotNull(), F.array_join(cut, "\n")).alias(text) if c == text else F.col(c)
         for c in df.columns

@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 def plain_lines(rows):
     """Texts without the lines that too many documents of a source have."""
     pages, seen = Counter(), defaultdict(Counter)
-    for r in rows:
+    for r in {(r.source, r.text): r for r in rows}.values():
         pages[r.source] += 1
         seen[r.source].update({x.strip(" \t\n\v\f\r") for x in (r.text or "").split("\n")} - {""})
     out = {}
@@ -28,7 +28,9 @@ def plain_lines(rows):
             if r.source is not None and pages[r.source] >= P.LEAST_DOCUMENTS and n >= 2 and n > P.LINE_RATIO * pages[r.source]
         }
         kept = [x for x in (r.text or "").split("\n") if x.strip(" \t\n\v\f\r") not in often]
-        out[r.doc_id] = None if r.text is None else "\n".join(kept)
+        told = [x for x in (r.text or "").split("\n") if x.strip(" \t\n\v\f\r")]
+        copied = len(told) - len([x for x in kept if x.strip(" \t\n\v\f\r")]) > P.MOST_LINES * len(told)
+        out[r.doc_id] = r.text if r.text is None or copied else "\n".join(kept)
     return out
 
 

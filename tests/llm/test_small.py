@@ -31,6 +31,18 @@ def test_lines_by_share_of_the_host(spark):
     assert lines.drop_lines(df.limit(0), "host").count() == 0
 
 
+def test_copies_of_a_page_are_no_boilerplate(spark):
+    rows = [(n, "h", "all of it\nis copied") for n in range(20)]
+    rows += [(100 + n, "h", f"menu\nown {n}\nmore {n}") for n in range(20)]
+    df = spark.createDataFrame(rows, "page_id int, host string, text string")
+    out = {r.page_id: r.text for r in lines.drop_lines(df, "host", copies_once=True, most=0.5).collect()}
+    assert out[3] == "all of it\nis copied" and out[103] == "own 3\nmore 3"
+    # Near copies: most of each would go, so they stay.
+    near = spark.createDataFrame([(n, "h", f"a\nb\nc\nd {n}") for n in range(9)], "page_id int, host string, text string")
+    kept = lines.drop_lines(near, "host", copies_once=True, most=0.5).where("page_id = 2").first()
+    assert kept.text == "a\nb\nc\nd 2"
+
+
 def test_host_and_visible_lines(spark):
     urls = ["http://A.example.com:80/x", "https://u:p@b.example/?q#f", "nonsense", None, "ftp://", ""]
     df = spark.createDataFrame([(u,) for u in urls], "u string").select(lines.host(F.col("u")))
