@@ -446,6 +446,8 @@ SELECT CAST(w.week_start AS VARCHAR) AS week_start, store_id, product_id, sales,
 FROM weekly w LEFT JOIN price_change c USING (week_start, store_id, product_id)""",
     "aggregated_sales": _with(_BASE)
     + " SELECT * REPLACE (CAST(week_start AS VARCHAR) AS week_start) FROM aggregated",
+    "joined_sales": _with(_BASE)
+    + " SELECT * REPLACE (CAST(week_start AS VARCHAR) AS week_start) FROM aggregated",
     "latest_treated": _with(_BASE, _LATEST)
     + """
 SELECT store_id, product_id, department_id, brand_id, msrp, cost, avg_hhi, avg_traffic,

@@ -55,12 +55,10 @@ def store_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def aggregated(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> DataFrame:
-    return sales.aggregate(
-        star_schema.sales(spark, folder),
-        star_schema.price_changes(spark, folder, cycle),
+    return sales.attach_dims(
+        star_schema.priced_weeks(spark, folder, cycle),
         star_schema.products(spark, folder),
         experiment.for_join(store_groups(spark, folder)),
-        cycle,
     )
 
 
@@ -330,6 +328,18 @@ def weekly_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _text(sales.weekly_sales(star_schema.sales(spark, folder), CYCLE))
 
 
+def joined_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The weekly sales table as the weekly job makes it, from sales, price changes and attributes."""
+    made = sales.aggregate(
+        star_schema.sales(spark, folder),
+        star_schema.price_changes(spark, folder),
+        star_schema.products(spark, folder),
+        experiment.for_join(store_groups(spark, folder)),
+        CYCLE,
+    )
+    return _text(made)
+
+
 def sales_with_price(spark: SparkSession, folder: str) -> DataFrame:
     weekly = sales.weekly_sales(star_schema.sales(spark, folder), CYCLE)
     return _text(sales.attach_price(weekly, star_schema.price_changes(spark, folder)))
@@ -607,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "weekly_sales": weekly_sales,
     "sales_with_price": sales_with_price,
     "aggregated_sales": aggregated_sales,
+    "joined_sales": joined_sales,
     "latest_treated": latest_treated,
     "store_zscores": store_zscores,
     "store_groups": split_stores,

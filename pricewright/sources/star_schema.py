@@ -94,11 +94,8 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def price_changes(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> DataFrame:
-    """The mean price paid per week, store and product, in whole cents.
-
-    Weeks in which no unit was discounted bring no price change.
-    """
+def _by_week(spark: SparkSession, folder: str, cycle: Cycle) -> DataFrame:
+    """Units of a week, store and product, whether any was discounted, and the mean price paid in cents."""
     cents = F.expr("(2 * paid_sum + 10000 * units) div (20000 * units)")
     return (
         sales(spark, folder)
@@ -108,12 +105,35 @@ def price_changes(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> Dat
             F.count("*").alias("units"),
             F.max("discounted").alias("discounted"),
         )
-        .where("discounted")
         .select(
-            "product_id",
+            "week_start",
             "store_id",
+            "product_id",
+            "units",
+            "discounted",
             F.date_format("week_start", "yyyy-MM-dd HH:mm:ss").alias("date"),
             (cents / 100.0).alias("price"),
-            "week_start",
         )
     )
+
+
+def price_changes(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> DataFrame:
+    """The mean price paid per week, store and product, in whole cents.
+
+    Weeks in which no unit was discounted bring no price change.
+    """
+    changed = _by_week(spark, folder, cycle).where("discounted")
+    return changed.select("product_id", "store_id", "date", "price", "week_start")
+
+
+def priced_weeks(spark: SparkSession, folder: str, cycle: Cycle = CYCLE) -> DataFrame:
+    """Weekly sales with the price change of their week, in one grouping of the sales."""
+    changed = F.col("discounted")
+    return _by_week(spark, folder, cycle).select(
+        "week_start",
+        "store_id",
+        "product_id",
+        F.col("units").alias("sales"),
+        F.when(changed, F.col("date")).alias("date"),
+        F.when(changed, F.col("price")).alias("price"),
+    )
