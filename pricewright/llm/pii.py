@@ -2,8 +2,9 @@
 
 1. Base spans: matches of the patterns for email, ip, card and phone that pass their tests.
 2. The values found are the protected entities. A term is a run of letters and digits in lower case.
-   Terms within ``REACH`` characters of an occurrence of an entity are its context, the spans
-   themselves left out.
+   Terms within ``REACH`` characters of an occurrence of an entity are its context, other matches
+   of the patterns left out. The context is cut from the text beside the match, so no document is
+   taken apart for it.
 3. Over all documents, n(t) is the number with a term, n(e) with an entity, n(t, e) with the term in a
    context of the entity, N all. The pointwise mutual information ln(n(t,e) N / (n(t) n(e))), as a
    share of the entity's own information ln(N / n(e)), says how much of the entity the term discloses:
@@ -75,7 +76,7 @@ def _valid(kind: Column, match: Column) -> Column:
 
 
 def _matches(text: Column, kind: int) -> Column:
-    """Array of (kind, n, gap before it, match) of all matches of one kind."""
+    """Array of (kind, n, gap before it, match, text beside it) of all matches of one kind."""
     pattern = F.lit(PATTERNS[KINDS[kind]])
     likely = {
         0: F.contains(text, F.lit("@")),
@@ -85,11 +86,23 @@ def _matches(text: Column, kind: int) -> Column:
     }[kind]
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
+    ends = F.transform(
+        gaps,
+        lambda g: F.struct(
+            F.length(g).alias("gap"),
+            # Whole words only: what a border cuts through is left out.
+            F.when(F.length(g) > REACH, F.regexp_replace(F.right(g, F.lit(REACH)), r"^\S+", "")).otherwise(g).alias("before"),
+            F.when(F.length(g) > REACH, F.regexp_replace(F.left(g, F.lit(REACH)), r"\S+$", "")).otherwise(g).alias("after"),
+        ),
+    )
     rows = F.transform(
-        F.arrays_zip(found.alias("found"), F.transform(gaps, F.length).alias("gap")),
-        lambda x, n: F.struct(F.lit(kind).alias("kind"), n.alias("n"), x["gap"].alias("gap"), x["found"].alias("match")),
+        F.arrays_zip(found.alias("found"), ends.alias("end"), F.slice(ends, F.lit(2), F.size(ends)).alias("next")),
+        lambda x, n: F.struct(
+            F.lit(kind).alias("kind"), n.alias("n"), x["end"]["gap"].alias("gap"), x["found"].alias("match"),
+            x["end"]["before"].alias("before"), x["next"]["after"].alias("after"),
+        ),
     )
-    none = F.array().cast("array<struct<kind:int,n:int,gap:int,match:string>>")
+    none = F.array().cast("array<struct<kind:int,n:int,gap:int,match:string,before:string,after:string>>")
     # The last gap has no match.
     return F.when(likely, F.filter(rows, lambda r: r["match"].isNotNull())).otherwise(none)
 
@@ -103,14 +116,17 @@ def _positions(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def base_spans(marked: DataFrame) -> DataFrame:
-    """``row``, ``kind``, ``start``, ``end``, ``match`` of the matches that pass their tests."""
+    """``row``, ``kind``, ``start``, ``end``, ``match`` and the text ``before`` and ``after`` of the
+    matches that pass their tests."""
     rows = marked.select("row", F.explode("found").alias("f")).select("row", "f.*")
     placed = _positions(rows, ["row", "kind"])
-    return placed.where(_valid(F.col("kind"), F.col("match"))).select("row", "kind", "start", "end", "match")
+    return placed.where(_valid(F.col("kind"), F.col("match"))).select(
+        "row", "kind", "start", "end", "match", "before", "after"
+    )
 
 
 def _terms(marked: DataFrame) -> DataFrame:
-    """``row``, ``n``, ``start``, ``end``, ``term`` of all terms of the documents with spans."""
+    """``row``, ``start``, ``end``, ``term`` of all terms of the given documents."""
     found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
     gaps = F.transform(F.split("text", TERM, -1), F.length)
     zipped = F.arrays_zip(found.alias("match"), gaps.alias("gap"))
@@ -119,28 +135,23 @@ def _terms(marked: DataFrame) -> DataFrame:
     return placed.select("row", "start", "end", F.lower("match").alias("term"))
 
 
-def _contexts(terms: DataFrame, spans: DataFrame, reach: int) -> DataFrame:
-    """``row``, ``entity``, ``context``, ``term``: terms near a span and outside all spans.
+def _contexts(spans: DataFrame) -> DataFrame:
+    """``row``, ``entity``, ``context``, ``term``: terms beside a span. Equal surroundings are one
+    context, however often they were copied."""
+    everything = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-    Terms and spans meet in buckets of ``reach`` characters, a few for each span.
-    """
-    bucket = lambda c: F.floor(c / reach)
-    near = spans.select(
-        "row", F.col("start").alias("s"), F.col("end").alias("e"),
+    def terms(c: str) -> Column:
+        return F.regexp_extract_all(F.lower(F.regexp_replace(c, everything, " ")), F.lit(TERM), F.lit(0))
+
+    sides = spans.select(
+        "row",
         F.concat_ws(":", F.col("kind").cast("string"), F.lower("match")).alias("entity"),
-        F.explode(F.sequence(bucket(F.greatest(F.col("start") - reach, F.lit(0))), bucket(F.col("end") + reach))).alias("bucket"),
+        terms("before").alias("b"),
+        terms("after").alias("a"),
+    )
+    return sides.select(
+        "row", "entity", F.xxhash64("b", "a").alias("context"), F.explode(F.array_distinct(F.concat("b", "a"))).alias("term")
     )
-    placed = terms.withColumn("bucket", bucket(F.col("start")))
-    met = placed.join(near, ["row", "bucket"])
-    inside = (F.col("start") < F.col("e")) & (F.col("end") > F.col("s"))
-    covered = met.where(inside).select("row", "start").distinct()
-    beside = met.where(
-        ~inside & (F.col("end") >= F.col("s") - reach) & (F.col("start") <= F.col("e") + reach)
-    ).join(covered, ["row", "start"], "left_anti")
-    around = Window.partitionBy(F.struct("row", "s", "entity"))
-    # Equal surroundings are one context, however often they were copied.
-    where = F.xxhash64("term", F.col("start") - F.col("s"))
-    return beside.withColumn("context", F.bit_xor(where).over(around)).select("row", "entity", "context", "term")
 
 
 def disclosing(
@@ -184,15 +195,24 @@ def find(
     )
     hits = marked.where(F.size("found") > 0)
     spans = common.stage(base_spans(hits), "pii-spans")
-    with_spans = hits.join(spans.select("row").distinct(), "row", "left_semi")
-    terms = common.stage(_terms(with_spans), "pii-terms")
-    contexts = common.stage(_contexts(terms, spans, REACH), "pii-contexts")
+    contexts = _contexts(spans)
     telling = disclosing(docs, "text", contexts, support, threshold)
     held = contexts.select("row", "entity").distinct()
-    revealed = held.join(telling, "entity").select("row", "term").distinct()
-    added = terms.join(revealed, ["row", "term"]).select(
-        "row", F.lit(len(KINDS)).alias("kind"), "start", "end",
-        F.when(F.col("term").rlike(r"\p{N}"), "generalise").otherwise("remove").alias("action"),
+    revealed = common.stage(
+        held.join(telling, "entity").select("row", "term").distinct(), "pii-revealed"
+    )
+    # Few documents: only those that hold an entity and a term that reveals it are taken apart.
+    terms = _terms(hits.join(revealed.select("row").distinct(), "row", "left_semi"))
+    covered = F.exists(
+        "spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))
+    )
+    own = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    added = (
+        terms.join(revealed, ["row", "term"]).join(own, "row").where(~covered)
+        .select(
+            "row", F.lit(len(KINDS)).alias("kind"), "start", "end",
+            F.when(F.col("term").rlike(r"\p{N}"), "generalise").otherwise("remove").alias("action"),
+        )
     )
     every = spans.select("row", "kind", "start", "end", F.lit("remove").alias("action")).unionByName(added)
     listed = every.groupBy("row").agg(
