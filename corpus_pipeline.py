@@ -67,9 +67,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of what they decode to."""
     base = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
-    ids = bpe.encode_frame(base, vocabulary()).drop("text")
-    back = bpe.decode_frame(ids, vocabulary())
-    return back.select(
+    both = base.select("doc_id", "source", bpe.round_trip(F.col("text"), vocabulary()).alias("b"))
+    return both.select("doc_id", "source", "b.ids", "b.decoded").select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

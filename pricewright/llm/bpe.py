@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,7 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SETTLED = r"[\0-՗ -⁯　-〿ぁ-ヾ一-鿕가-힣]*+"
 
 #: Pieces remembered in a task, and the longest piece remembered.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 150_000
 CACHE_CHARS = 64
 
 
@@ -117,6 +118,14 @@ class Codec:
                     heapq.heappush(queue, (found[0], previous, symbol[previous], joined, found[1]))
         return tuple(s for s in symbol if s >= 0)
 
+    @contextmanager
+    def remembering(self) -> Iterator[Codec]:
+        """For the texts of one task: pieces are remembered meanwhile, and forgotten at its end."""
+        try:
+            yield self
+        finally:
+            self._cache.clear()
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         cache = self._cache
@@ -146,21 +155,28 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _id_lists(parts: list[np.ndarray | None]) -> pa.Array:
+    sizes = [0 if p is None else len(p) for p in parts]
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    flat = [p for p in parts if p is not None]
+    values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
+    mask = pa.array([p is None for p in parts], type=pa.bool_())
+    return pa.ListArray.from_arrays(ends, values, mask=mask)
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids of every text, as an array of int."""
 
     @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        use = codec(path).encode
-        parts = [None if t is None else np.array(use(t), dtype=np.int32) for t in texts.to_pylist()]
-        sizes = [0 if p is None else len(p) for p in parts]
-        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        flat = [p for p in parts if p is not None]
-        values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-        mask = pa.array([p is None for p in parts], type=pa.bool_())
-        return pa.ListArray.from_arrays(ends, values, mask=mask)
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with codec(path).remembering() as use:
+            for texts in batches:
+                yield _id_lists(
+                    [None if t is None else np.array(use.encode(t), np.int32) for t in texts.to_pylist()]
+                )
 
-    return ids(text)
+    # Else a plan that uses the ids several times would encode several times.
+    return ids.asNondeterministic()(text)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -176,6 +192,22 @@ def decode(ids: Column, path: str) -> Column:
     return text(ids)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """Struct of ``ids`` and ``decoded``: encoding and decoding of every text in one worker, so that the
+    ids needn't go back to another one."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with codec(path).remembering() as use:
+            for texts in batches:
+                ids = [None if t is None else use.encode(t) for t in texts.to_pylist()]
+                back = pa.array([None if n is None else use.decode(n) for n in ids], pa.string())
+                lists = _id_lists([None if n is None else np.array(n, np.int32) for n in ids])
+                yield pa.StructArray.from_arrays([lists, back], ["ids", "decoded"])
+
+    return both.asNondeterministic()(text)
+
+
 def _rows(lists: pa.Array) -> Iterable[Sequence[int | None] | None]:
     for row in lists:
         yield None if not row.is_valid else row.values.to_numpy(zero_copy_only=False).tolist() if (

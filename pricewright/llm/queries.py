@@ -36,9 +36,8 @@ def vocabulary() -> str:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of all documents, encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    encoded = bpe.encode_frame(docs, vocabulary()).drop("text")
-    decoded = bpe.decode_frame(encoded, vocabulary())
-    return decoded.select(
+    both = docs.select("doc_id", bpe.round_trip(F.col("text"), vocabulary()).alias("b"))
+    return both.select("doc_id", "b.ids", "b.decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         _sha(bpe.joined_ids(F.col("ids"))).alias("ids_sha256"),

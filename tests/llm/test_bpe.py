@@ -69,4 +69,8 @@ def test_frames(spark, library):
         else:
             assert r.ids == library.encode(r.text, add_special_tokens=False).ids
             assert r.decoded == r.text and r.joined == ",".join(map(str, r.ids))
+    both = df.select("doc_id", bpe.round_trip(F.col("text"), vocabulary()).alias("b")).select("doc_id", "b.*")
+    assert sorted(map(str, both.collect())) == sorted(
+        str(r) for r in out.select("doc_id", "ids", "decoded").collect()
+    )
     assert bpe.encode_frame(df.limit(0), vocabulary()).count() == 0

@@ -60,7 +60,7 @@ def test_plans(spark):
             if name in ("op2_mixing", "op10_pii"):
                 assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
             if name == "op1_bpe":
-                assert plan.count("ids(coalesce(text") == 1
+                assert plan.count("both(coalesce(text") == 1
 
 
 def test_nothing_else_imports_the_subpackage():
