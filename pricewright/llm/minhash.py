@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.llm import common
@@ -47,7 +47,7 @@ PROBE = 16
 BLOCK_SHINGLES = 1 << 14
 #: Margin of the estimated similarity below the threshold, about six standard deviations.
 MARGIN = 30
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 
 class _WordHashes(dict):
@@ -211,6 +211,9 @@ def _full_sets(df: DataFrame, key: str, text: str, words: int, wanted: DataFrame
             keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             yield pa.StructArray.from_arrays([keys, _lists(sets)], ["set_key", "shingles"])
 
+    # Else the filter below would carry it beneath the join, to every document.
+    full = full.asNondeterministic()
+
     def named(c: Column) -> Column:
         return F.coalesce(c.cast("string"), F.lit("none"))
 
