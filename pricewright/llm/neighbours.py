@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.llm import common
 
 SHARD_ROWS = 1024
 QUERY_BLOCK = 1024
