@@ -5,7 +5,7 @@ which there must be at least ``least_pages``, is boilerplate there and is droppe
 
 Counts are added up before the shuffle, so a hot host or line is a few rows. A host's boilerplate has
 at most (lines of an average page) / ``ratio`` entries, so its list is small; pages meet it in a join
-that adaptive execution splits where a host is hot.
+by host and a salt, so that a hot host is many tasks.
 
 Where pages may be whole copies of each other, ``copies_once`` counts equal texts of a host once, and
 ``most`` leaves a page alone that would lose more than that share of its lines: it is a copy of others and
@@ -25,6 +25,8 @@ from pricewright.llm import common
 
 RATIO = 0.3
 LEAST_PAGES = 4
+#: Places that the pages of one site are dealt to.
+SALTS = 32
 
 
 def host(url: Column) -> Column:
@@ -103,10 +105,16 @@ def drop_lines(
     kept = F.filter(
         lines, lambda x: F.coalesce(~F.array_contains(marks, F.xxhash64(_trimmed(x))), F.lit(True))
     )
-    joined = df.join(
-        found.select(F.col("site").alias(theirs), F.col("marks").alias(marks)),
-        F.col(site) == F.col(theirs),
-        "left",
+    # A site's pages are dealt to several places, and its small list to each of them.
+    salt, their_salt = common.fresh(df.columns, "salt"), common.fresh(df.columns, "their_salt")
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    spread = found.select(
+        F.col("site").alias(theirs),
+        F.col("marks").alias(marks),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(their_salt),
+    )
+    joined = salted.join(
+        spread, (F.col(site) == F.col(theirs)) & (F.col(salt) == F.col(their_salt)), "left"
     ).withColumn(lines, F.split(text, "\n"))
     cut = common.fresh([*joined.columns], "kept")
     out = joined.withColumn(cut, F.when(F.col(marks).isNotNull(), kept).otherwise(F.col(lines)))

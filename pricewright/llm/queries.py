@@ -19,7 +19,7 @@ from pricewright.llm import (
     quality,
     simhash,
 )
-from pricewright.llm.common import held_out, table
+from pricewright.llm.common import held_out, stage, table
 
 
 def _sha(text: Column) -> Column:
@@ -87,6 +87,8 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", lines.host(F.col("url")).alias("host"), lines.visible_lines(F.col("html")).alias("text")
     )
+    # Counting and dropping both read the lines; taking pages apart is what costs.
+    pages = stage(pages, "pages-lines")
     cut = lines.drop_lines(pages, "host", dropped="n_dropped")
     kept = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))).otherwise(0)
     return cut.select(
