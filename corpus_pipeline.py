@@ -19,10 +19,11 @@ from pricewright.llm.queries import vocabulary
 #: A document is rejected if its language can't be told: no letters, or no language above this share.
 LEAST_SCORE = 0.4
 #: Lines on more than this share of a source's different documents are boilerplate, in sources of some
-#: size; a document that is boilerplate for the most part is a copy, which the next stage handles.
+#: size. Near copies count once.
 LINE_RATIO = 0.1
 LEAST_DOCUMENTS = 40
-MOST_LINES = 0.5
+#: Boilerplate goes whatever share of a document it is.
+MOST_LINES = 1.0
 #: The mix takes whole documents, so its blocks are of the size of several.
 MIX_BLOCK_WORDS = 4096
 
@@ -39,7 +40,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def strip_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out the lines that too many documents of a source have. Every document stays."""
     return lines.drop_lines(
-        docs, "source", ratio=LINE_RATIO, least_pages=LEAST_DOCUMENTS, copies_once=True, most=MOST_LINES
+        docs, "source", ratio=LINE_RATIO, least_pages=LEAST_DOCUMENTS, copies_once=True, most=MOST_LINES,
+        near_once=True,
     )
 
 

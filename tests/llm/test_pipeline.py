@@ -95,3 +95,13 @@ def test_run_keeps_clean_documents(spark):
     assert out.columns == ["doc_id", "source", "n_tokens", "ids", "decoded_sha256"]
     assert out.where(F.size("ids") != F.col("n_tokens")).count() == 0
     assert out.select("doc_id").distinct().count() > 0
+
+
+def test_short_pages_lose_their_boilerplate_and_near_copies_keep_their_body(spark):
+    rows = [(n, f"site header\nown line {n}\nsite footer", "a") for n in range(50)]
+    body = "\n".join(" ".join(f"w{m}x{k}" for k in range(8)) for m in range(10))
+    rows += [(100 + n, f"site header\n{body}\ncopy {n}", "a") for n in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = {r.doc_id: r.text for r in P.strip_lines(spark, docs, FOLDER).collect()}
+    assert all(out[n] == f"own line {n}" for n in range(50))
+    assert all(out[100 + n] == f"{body}\ncopy {n}" for n in range(20))
