@@ -10,8 +10,8 @@
    share of the entity's own information ln(N / n(e)), says how much of the entity the term discloses:
    1 if the term occurs in its contexts only, about 0 if it is independent.
 4. A term that discloses at least ``THRESHOLD``, in at least ``SUPPORT`` different contexts of the
-   entity (copies of a passage are one), adds a span wherever it stands in a document that holds the
-   entity. With digits it is generalised, otherwise removed.
+   entity (copies of a passage are one), adds a span wherever it stands, also in documents that do not
+   hold the entity. With digits it is generalised, otherwise removed.
 
 Only DataFrame operations are used. Positions come from the lengths of the matches and of the text
 between them, in code points. The patterns are possessive, so no text makes them backtrack or recurse,
@@ -154,6 +154,10 @@ def _contexts(spans: DataFrame) -> DataFrame:
     )
 
 
+def _distinct_terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
 def disclosing(
     docs: DataFrame, text: str, contexts: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -165,8 +169,7 @@ def disclosing(
         .where(F.col("contexts") >= support)
     )
     entities = contexts.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    each = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)))
-    words = docs.select(F.explode(each).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    words = docs.select(F.explode(_distinct_terms(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = docs.select(F.count(F.lit(1)).alias("n"))
     size = total.first()["n"]
     own = F.ln(F.lit(float(max(size, 1))) / F.col("n_e"))
@@ -182,33 +185,30 @@ def disclosing(
 def find(
     df: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``doc_id``, ``text`` (of documents with spans, else null) and ``found`` of every row: an array of
+    """``doc_id``, ``text`` (of documents with matches or spans, else null) and ``found`` of every row: an array of
     (kind, start, end, action), base kinds by number and then ``term`` as number 4."""
     docs = df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = F.concat(*[_matches(F.col("text"), n) for n in range(len(KINDS))])
-    # Only texts with a match are carried on.
     marked = common.stage(
-        docs.select("doc_id", found.alias("found"), "text")
-        .withColumn("text", F.when(F.size("found") > 0, F.col("text")))
-        .withColumn("row", F.monotonically_increasing_id()),
+        docs.select("doc_id", found.alias("found"), "text").withColumn("row", F.monotonically_increasing_id()),
         "pii-marked",
     )
     hits = marked.where(F.size("found") > 0)
     spans = common.stage(base_spans(hits), "pii-spans")
     contexts = _contexts(spans)
     telling = disclosing(docs, "text", contexts, support, threshold)
-    held = contexts.select("row", "entity").distinct()
-    revealed = common.stage(
-        held.join(telling, "entity").select("row", "term").distinct(), "pii-revealed"
-    )
-    # Few documents: only those that hold an entity and a term that reveals it are taken apart.
-    terms = _terms(hits.join(revealed.select("row").distinct(), "row", "left_semi"))
+    revealing = common.stage(telling.select("term").distinct(), "pii-revealing")
+    # A small table, which Spark broadcasts where it measures it so; every document meets it.
+    each = marked.select("row", F.explode(_distinct_terms(F.col("text"))).alias("term"))
+    revealed = common.stage(each.join(revealing, "term"), "pii-revealed")
+    # Only documents that hold a revealing term are taken apart, with the entity or without.
+    terms = _terms(marked.join(revealed.select("row").distinct(), "row", "left_semi"))
     covered = F.exists(
         "spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))
     )
     own = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     added = (
-        terms.join(revealed, ["row", "term"]).join(own, "row").where(~covered)
+        terms.join(revealed, ["row", "term"]).join(own, "row", "left").where(F.coalesce(~covered, F.lit(True)))
         .select(
             "row", F.lit(len(KINDS)).alias("kind"), "start", "end",
             F.when(F.col("term").rlike(r"\p{N}"), "generalise").otherwise("remove").alias("action"),
@@ -220,8 +220,11 @@ def find(
     )
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,action:string>>")
     return (
-        marked.select("row", "doc_id", "text").join(listed, "row", "left")
-        .select("doc_id", "text", F.coalesce("spans", none).alias("found"))
+        marked.select("row", "doc_id", "text", (F.size("found") > 0).alias("hit")).join(listed, "row", "left")
+        .select(
+            "doc_id", F.when(F.col("hit") | F.col("spans").isNotNull(), F.col("text")).alias("text"),
+            F.coalesce("spans", none).alias("found"),
+        )
     )
 
 

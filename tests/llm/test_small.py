@@ -272,3 +272,16 @@ def test_terms_that_reveal_an_entity(spark):
         assert "Zebulon" not in out[100 + n].clean and "[EMAIL]" in out[100 + n].clean
     assert all(s.kind < 4 for n in range(10) for s in out[200 + n].found)
     assert not any(out[n].found for n in range(60))
+
+
+def test_a_revealing_term_goes_where_the_entity_is_not(spark):
+    rows = [(n, f"the quick fox runs {n}") for n in range(300)]
+    rows += [(1000 + n, f"in case {n} write to Zebulon at z.q@mail.example for answer {n}") for n in range(10)]
+    rows += [(2000, "Zebulon was seen elsewhere"), (2001, "nobody but zebulon, 1.2.3.4 says")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    found = pii.find(df).select("doc_id", "text", "found", pii.sanitised(F.col("text"), F.col("found")).alias("clean"))
+    out = {r.doc_id: r for r in found.collect()}
+    assert [(s.kind, s.start, s.end, s.action) for s in out[2000].found] == [(4, 0, 7, "remove")]
+    assert out[2000].clean == " was seen elsewhere" and "zebulon" not in out[2001].clean
+    assert all("Zebulon" not in out[1000 + n].clean for n in range(10))
+    assert not any(out[n].found for n in range(300))
