@@ -24,9 +24,6 @@ LINE_RATIO = 0.1
 LEAST_DOCUMENTS = 40
 #: Boilerplate goes whatever share of a document it is.
 MOST_LINES = 1.0
-#: The mix takes whole documents, so its blocks are of the size of several.
-MIX_BLOCK_WORDS = 4096
-
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told. Learns from the labelled ones among them."""
@@ -57,7 +54,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix says: not at all, once, or up to three times."""
-    mixed = mixing.mix(docs, block_words=MIX_BLOCK_WORDS)
+    mixed = mixing.mix(docs, whole=True)
     taken = mixed.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
     times, theirs = fresh(docs.columns, "times"), fresh(docs.columns, "taken_id")
     counted = taken.select(F.col("doc_id").alias(theirs), F.col("copies").alias(times))

@@ -9,6 +9,10 @@
 4. Within a shard the documents lie end to end in seeded order. Whole repeats come first; the rest is
    a seeded selection of the shard's own blocks, and a document takes the words it has in them.
 
+For those who mix whole documents, ``whole`` rounds the same quotas to documents: a shard is cut at its
+rest in seeded order, and a document whose middle is before the cut goes once more. Every source with a
+target above 0 has a block at least and keeps one document at least, the first of its first shard with one.
+
 Only DataFrame operations are used. The global windows are over one row a source and over the few
 quotients near a source's quota; all other windows are within a shard.
 
@@ -132,12 +136,14 @@ def mix(
     most: int = MOST,
     block_words: int = BLOCK_WORDS,
     seed: str = "mix",
+    whole: bool = False,
 ) -> DataFrame:
     """One row a document: ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``taken``,
     ``copies``.
 
     ``copies`` is for those who mix whole documents: whole repeats, and one more if the middle word is
-    in a selected block.
+    in a selected block. With ``whole`` it is the quota rounded to documents, and ``taken`` the words of
+    these copies.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(common.WORD)), F.lit(0)).cast("long")
     docs = common.stage(
@@ -159,10 +165,12 @@ def mix(
             / block_words
         ).cast("long"),
     )
+    least = F.when(F.col("target") > 0, 1).otherwise(0) if whole else F.lit(0)
     shards = F.least(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(MOST_SHARDS))
     sources = common.stage(
         apportion(goals, [], [F.col("source").asc_nulls_last()], "target", "blocks")
-        .withColumnRenamed("quota", "source_blocks")
+        .withColumn("source_blocks", F.greatest("quota", least.cast("long")))
+        .drop("quota")
         .withColumn("shards", F.greatest(shards, F.lit(1)).cast("int"))
         .drop("blocks"),
         "mix-sources",
@@ -184,17 +192,20 @@ def mix(
         .withColumn("of", F.col("shard.source"))
     )
     quotas = apportion(per_shard, ["of"], [F.col("shard.number")], "shard_size", "source_blocks").select(
-        F.col("shard").alias("q_shard"), "shard_size", "quota"
+        F.col("shard").alias("q_shard"),
+        "shard_size",
+        "quota",
+        (F.col("shard.number") == F.min(F.when(F.col("quota") > 0, F.col("shard.number"))).over(Window.partitionBy("of"))).alias("leads"),
     )
     line = Window.partitionBy("shard").orderBy(
         F.xxhash64(F.lit(seed), "dealt"), F.col("doc_id").asc_nulls_last(), "size"
     )
     laid = dealt.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     placed = laid.join(quotas, F.col("shard") == F.col("q_shard"))
-    return _taken(placed, most, block_words, seed)
+    return _taken(placed, most, block_words, seed, whole)
 
 
-def _taken(placed: DataFrame, most: int, block_words: int, seed: str) -> DataFrame:
+def _taken(placed: DataFrame, most: int, block_words: int, seed: str, whole: bool) -> DataFrame:
     """Words that the mix takes from each document of a shard with its quota of blocks."""
     total = F.least(F.col("quota") * block_words, F.col("shard_size") * most)
     repeats = F.coalesce(F.try_divide(total, F.col("shard_size")).cast("long"), F.lit(0))
@@ -228,13 +239,18 @@ def _taken(placed: DataFrame, most: int, block_words: int, seed: str) -> DataFra
     ).otherwise(F.lit(0))
     middle = F.floor((F.col("start") + F.col("end")) / 2)
     holds = (middle % block_words) < selected(F.floor(middle / block_words))
-    whole = F.when(F.col("size") > 0, F.col("repeats") + holds.cast("long")).otherwise(F.lit(1))
+    taken = F.col("repeats") * F.col("size") + part
+    if whole:
+        first = F.coalesce(F.col("leads"), F.lit(False)) & (F.col("start") == 0) & (F.col("repeats") == 0)
+        holds = (F.col("start") + F.col("end") <= 2 * F.col("rest")) | first
+        taken = (F.col("repeats") + holds.cast("long")) * F.col("size")
+    copies = F.when(F.col("size") > 0, F.col("repeats") + holds.cast("long")).otherwise(F.lit(1))
     return counted.select(
         "doc_id",
         F.col("size").cast("long").alias("size"),
         "source",
         F.col("source_size").cast("long").alias("source_size"),
         "target",
-        (F.col("repeats") * F.col("size") + part).cast("long").alias("taken"),
-        whole.cast("int").alias("copies"),
+        taken.cast("long").alias("taken"),
+        copies.cast("int").alias("copies"),
     )

@@ -73,3 +73,25 @@ def test_nothing_to_mix(spark):
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
     out = mixing.mix(spark.createDataFrame([(1, "", None), (2, None, "a")], schema)).collect()
     assert all((r.size, r.target, r.taken) == (0, 0.0, 0) for r in out) and len(out) == 2
+
+
+def test_whole_documents_keep_small_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 4000)
+    rows = [(n, "w " * (20 + n % 70), "big" if n % 4 else "large") for n in range(600)]
+    rows += [(1000 + n, "w " * (1 + n % 3), f"tiny{n // 2:02}") for n in range(40)]
+    rows += [(2000 + n, "w " * 300, "middle") for n in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sizes, longest = {}, {}
+    for _, text, source in rows:
+        words = len(text.split())
+        sizes[source] = sizes.get(source, 0) + words
+        longest[source] = max(longest.get(source, 0), words)
+    goal, taken, kept = water(sizes), dict.fromkeys(sizes, 0), set()
+    for r in mixing.mix(df, whole=True).collect():
+        assert 0 <= r.copies <= 3 and r.taken == r.copies * r.size
+        taken[r.source] += r.taken
+        kept |= {r.source} if r.copies else set()
+    assert kept == set(sizes)
+    for source, words in taken.items():
+        shards = -(-sizes[source] // 4000)
+        assert abs(words - goal[source]) <= 2 * mixing.BLOCK_WORDS + shards * longest[source]

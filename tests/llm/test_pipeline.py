@@ -105,3 +105,10 @@ def test_short_pages_lose_their_boilerplate_and_near_copies_keep_their_body(spar
     out = {r.doc_id: r.text for r in P.strip_lines(spark, docs, FOLDER).collect()}
     assert all(out[n] == f"own line {n}" for n in range(50))
     assert all(out[100 + n] == f"{body}\ncopy {n}" for n in range(20))
+
+
+def test_mixing_keeps_tiny_sources(spark):
+    rows = [(n, "w " * 500, "big") for n in range(100)] + [(1000 + n, "w " * 20, f"tiny{n // 2}") for n in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    left = Counter(r.source for r in P.mix_sources(spark, docs, FOLDER).collect())
+    assert set(left) == {"big", "tiny0", "tiny1", "tiny2", "tiny3", "tiny4"}
