@@ -112,3 +112,12 @@ def test_mixing_keeps_tiny_sources(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     left = Counter(r.source for r in P.mix_sources(spark, docs, FOLDER).collect())
     assert set(left) == {"big", "tiny0", "tiny1", "tiny2", "tiny3", "tiny4"}
+
+
+def test_small_sources_lose_boilerplate_too(spark):
+    rows = [(n, f"menu\nown line {n}", "small") for n in range(6)]
+    rows += [(100 + n, ("foot\n" if n < 8 else "") + f"another line {n}", "large") for n in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = {r.doc_id: r.text for r in P.strip_lines(spark, docs, FOLDER).collect()}
+    assert all(out[n] == f"own line {n}" for n in range(6))
+    assert all(out[100 + n] == f"another line {n}" for n in range(100))
