@@ -17,6 +17,7 @@ from pricewright.llm import (
     neighbours,
     pii,
     quality,
+    resampling,
     simhash,
 )
 from pricewright.llm.common import held_out, stage, table
@@ -130,6 +131,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the word runs of the benchmark, and all scores."""
+    docs = table(spark, sf_dir, "documents")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over the whole of documents."""
     import corpus_pipeline
@@ -148,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
+    "op11_resampling": op11_resampling,
     "pipeline": pipeline,
 }
 

@@ -1,0 +1,107 @@
+"""Importance resampling against a plain version."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricewright.llm import resampling
+from pricewright.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def runs(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def buckets(text):
+    return [crc32(f.encode()) % 10000 for f in runs(text)[1]]
+
+
+def plain(docs, target, percent=25):
+    s, t = [0] * 10000, [0] * 10000
+    for rows, into in ((docs, s), ([(0, x) for x in target], t)):
+        for _, text in rows:
+            for b in buckets(text):
+                into[b] += 1
+    S, T = sum(s), sum(t)
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (S + 10000) / ((s[b] + 1) * (T + 10000)))) for b in range(10000)]
+    out = []
+    for doc_id, text in docs:
+        found = buckets(text)
+        weight = sum(gain[b] for b in found) // len(found) if found else 0
+        said = f"7:{'' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(said.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(found), weight, score, None, len(runs(text)[0])])
+    can = sorted((r for r in out if r[5] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for n, row in enumerate(can[: len(can) * percent // 100]):
+        row[4] = n + 1
+    return sorted((tuple(r[:5]) for r in out), key=repr)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=repr)
+
+
+def test_query_equals_plain_version(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
+    target = [r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    out = QUERIES["op11_resampling"](spark, FOLDER)
+    assert dict(out.dtypes) == dict.fromkeys(["doc_id", "n_features", "weight", "score", "rank"], "bigint")
+    assert rows_of(out) == plain(docs, target)
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(d, t, "x", 1) for d, t in docs], "doc_id bigint, text string, place string, rank int")
+
+
+def test_ties_nulls_and_repeated_rows(spark):
+    long = " ".join(f"word{i}" for i in range(25))
+    docs = [(1, long)] * 30 + [(None, long)] * 40 + [(2, None), (3, ""), (4, "Éa ß-x 中文 _ 9"), (5, "one")]
+    docs += [(10 + n, f"{long} only {n}") for n in range(20)] + [(-5, long + " z"), (-5, long + " z")]
+    target = spark.createDataFrame([("word1 word2", 1), (None, 2), ("", 3)], "text string, place int")
+    for percent in (0, 3, 25, 60, 100):
+        got = rows_of(resampling.resample(frame(spark, docs), target, percent=percent))
+        assert got == plain(docs, ["word1 word2"], percent)
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [(1, "a b")]).limit(0)
+    some = frame(spark, [(n, " ".join(f"w{i}{n}" for i in range(30))) for n in range(9)])
+    assert resampling.resample(none, some).count() == 0
+    assert rows_of(resampling.resample(some, none)) == plain([(r.doc_id, r.text) for r in some.collect()], [])
+
+
+def test_blocks_of_a_long_text(monkeypatch):
+    text = "Ab cd,efé " * 300 + "x" * 5000 + " y"
+    whole = sorted(buckets(text))
+    for block in (1, 7, 1000):
+        monkeypatch.setattr(resampling, "BLOCK", block)
+        parts = list(resampling.features(text.encode()))
+        assert sorted(b for _, p in parts for b in p.tolist()) == whole
+        assert sum(n for n, _ in parts) == len(runs(text)[0])
+
+
+@pytest.mark.parametrize("wanted", [1, 2, 5, 499, 500])
+def test_threshold_counts(spark, wanted):
+    values = [(n * 7919) % 251 - 100 for n in range(498)] + [-(1 << 62), (1 << 62)]
+    rows = spark.createDataFrame([(v,) for v in values], "v bigint")
+    at, below = resampling.threshold(rows, "v", wanted)
+    assert sum(v <= at for v in values) >= wanted > sum(v < at for v in values)
+    assert below <= sum(v < at for v in values) and below == sum(v < at for v in values)
+
+
+def test_ranks_are_by_range(spark):
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("v"), F.col("id").alias("place"))
+    out = resampling.ranked(rows, [F.col("v").desc(), F.col("place")]).collect()
+    assert [r["rank"] for r in sorted(out, key=lambda r: (-r.v, r.place))] == list(range(1, 5001))
