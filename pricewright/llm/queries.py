@@ -19,6 +19,7 @@ from pricewright.llm import (
     pii,
     quality,
     resampling,
+    secret_scan,
     simhash,
 )
 from pricewright.llm.common import held_out, stage, table
@@ -145,6 +146,22 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, of the three base kinds and of further credentials."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    plain = F.filter("found", lambda s: s["kind"] < len(secret_scan.BASE))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(n).alias(f"n_{r.name}") for n, r in enumerate(secret_scan.BASE)],
+        _sha(secret_scan.listing(plain)).alias("base_sha256"),
+        secret_scan.listing(F.col("found")).alias("spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over the whole of documents."""
     import corpus_pipeline
@@ -165,9 +182,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_resampling": op11_resampling,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_secrets": op13_secrets,
     "pipeline": pipeline,
 }
 
+
+def _either(words: str) -> str:
+    """A pattern for the words in either case, of ASCII letters only."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+#: The rules of op13 without possessive marks, group and least length.
+_SECRETS = (
+    ("assign", _either("(?:password|passwd|secret|token|api_?key)") + r"""["'']?[ ]*[:=][ ]*["'']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("private_key", "-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----", 0, 1),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("google", "AIza[A-Za-z0-9_-]{35,}", 0, 1),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
+    ("url_login", r"(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/@]{1,100}@", 0, 1),
+)
+
+
+def _secrets_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"""
+  SELECT r, {n} AS kind, '{name}' AS name, {least} AS least, unnest(regexp_extract_all(t, '{pattern}')) AS m,
+    unnest(regexp_extract_all(t, '{pattern}', {group})) AS told,
+    unnest(list_slice(regexp_split_to_array(t, '{pattern}'), 1, len(regexp_extract_all(t, '{pattern}')))) AS gap,
+    generate_subscripts(regexp_extract_all(t, '{pattern}'), 1) AS n
+  FROM d WHERE regexp_matches(t, '{pattern}')"""
+        for n, (name, pattern, group, least) in enumerate(_SECRETS)
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = {n}) AS n_{_SECRETS[n][0]}" for n in range(3))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce("text", '') AS t FROM documents),
+m AS ({parts}),
+placed AS (
+  SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY n) AS BIGINT) AS e FROM m),
+span AS (SELECT r, kind, e - length(m) AS s, name || ':' || (e - length(m)) || ':' || e AS said
+         FROM placed WHERE length(told) >= least)
+SELECT doc_id, {counts},
+  sha256(coalesce(string_agg(said, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256,
+  coalesce(string_agg(said, ',' ORDER BY s, kind), '') AS spans
+FROM d LEFT JOIN span USING (r) GROUP BY r, doc_id
+"""
+
+
 #: Ids of the contract's columns that SQL can compute are checked row by row; what is learned, sampled by
 #: Spark's own hash or a method's own score has no SQL and is tested against brute force instead.
 SQL: dict[str, str] = {
@@ -255,4 +319,5 @@ FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
   AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
 QUALIFY rank <= 5
 """,
+    "op13_secrets": _secrets_sql(),
 }
