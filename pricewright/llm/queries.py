@@ -203,7 +203,7 @@ _SECRETS = (
     ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
-    ("url_login", r"(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/@]{1,100}@", 0, 1),
+    ("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/@]{1,100}@", 0, 1),
 )
 
 

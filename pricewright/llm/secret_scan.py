@@ -60,15 +60,14 @@ MORE = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}+"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}+"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++"),
-    Rule(
-        "url_login",
-        r"(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/@]{1,100}@",
-    ),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/@]{1,100}@"),
 )
 RULES = (*BASE, *MORE)
 
 #: Strings that a part of an expression may stand for, and ANDs of a query, before they count as any text.
 MOST_STRINGS = 64
+#: Trigrams that one AND asks for. Fewer ask for less, so matches still answer, and the index is smaller.
+MOST_ASKED = 4
 #: Characters that a class may have to be spelled out.
 MOST_CLASS = 8
 
@@ -157,7 +156,9 @@ def _sequence(parts: Sequence) -> tuple[frozenset | None, frozenset]:
 def required(pattern: str) -> frozenset[frozenset[str]]:
     """ANDs of trigrams, one of which the lower-cased text of every match holds. One empty AND: any text."""
     strings, query = _sequence(parser.parse(pattern))
-    return query if strings is None else _both(query, _of_strings(strings))
+    query = query if strings is None else _both(query, _of_strings(strings))
+    # Signs and digits are rarer than letters.
+    return _simple(frozenset(frozenset(sorted(a, key=lambda t: (t.isalpha(), t))[:MOST_ASKED]) for a in query))
 
 
 def trigram_index(marked: DataFrame, wanted: Sequence[str], text: str = "text") -> Column:
