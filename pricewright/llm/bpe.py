@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -32,8 +31,8 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Unicode tables are older. A text with any other is split by that library's own splitter.
 SETTLED = r"[\0-՗ -⁯　-〿ぁ-ヾ一-鿕가-힣]*+"
 
-#: Pieces remembered in a task, and the longest piece remembered.
-CACHE_PIECES = 150_000
+#: Pieces that a worker remembers, and the longest piece remembered.
+CACHE_PIECES = 300_000
 CACHE_CHARS = 64
 
 
@@ -58,10 +57,17 @@ class Codec:
         vocab: dict[str, int] = spec["model"]["vocab"]
         letters = byte_letters()
         self._first = [vocab[c] for c in letters]
-        self._merge: dict[tuple[int, int], tuple[int, int]] = {}
+        # For each left symbol the rank of its pairs by right symbol, and the symbol that the pair of a rank
+        # becomes. The last entry, index -1, is that of no symbol.
+        none: dict[int, int] = {}
+        self._ranks: list[dict[int, int]] = [none] * (max(vocab.values()) + 2)
+        self._joined: list[int] = []
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self._merge[vocab[left], vocab[right]] = (rank, vocab[left + right])
+            if self._ranks[vocab[left]] is none:
+                self._ranks[vocab[left]] = {}
+            self._ranks[vocab[left]][vocab[right]] = rank
+            self._joined.append(vocab[left + right])
         self._special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path} has special tokens that take in their surroundings")
@@ -71,7 +77,9 @@ class Codec:
         self._settled = regex.compile(SETTLED).fullmatch
         self._path = path
         self._foreign = None
+        # What was met lately, and what before that.
         self._cache: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         value = {c: b for b, c in enumerate(letters)}
         self._strings: dict[int, bytes] = {
             n: bytes(value[c] for c in s) if all(c in value for c in s) else s.encode()
@@ -89,59 +97,64 @@ class Codec:
 
     def merged(self, piece: str) -> tuple[int, ...]:
         """Token ids of one piece."""
+        ranks, joined_as = self._ranks, self._joined
         symbol = [self._first[b] for b in piece.encode("utf-8")]
-        size, merge = len(symbol), self._merge
-        after, before = [*range(1, size), -1], list(range(-1, size - 1))
-        queue = []
-        for at in range(size - 1):
-            found = merge.get((symbol[at], symbol[at + 1]))
-            if found:
-                queue.append((found[0], at, symbol[at], symbol[at + 1], found[1]))
+        size = len(symbol)
+        # An entry is the rank of a pair and, in its low bits, the place of its left symbol.
+        bits = max(16, size.bit_length())
+        mask = (1 << bits) - 1
+        queue = [
+            rank << bits | at
+            for at, (left, right) in enumerate(zip(symbol, symbol[1:]))
+            if (rank := ranks[left].get(right)) is not None
+        ]
+        if not queue:
+            return tuple(symbol)
+        # The last place stands for both ends of the list; it and merged places hold no symbol.
+        symbol.append(-1)
+        after, before = [*range(1, size + 1), size], [size, *range(size)]
+        pop, push = heapq.heappop, heapq.heappush
         heapq.heapify(queue)
         while queue:
-            _, at, left, right, joined = heapq.heappop(queue)
+            entry = pop(queue)
+            rank, at = entry >> bits, entry & mask
             old = after[at]
-            # Stale: one of the two symbols was merged since the pair was queued.
-            if symbol[at] != left or old < 0 or symbol[old] != right:
+            # Stale: one of the two symbols was merged since the pair was queued. A rank names its pair.
+            if ranks[symbol[at]].get(symbol[old]) != rank:
                 continue
-            symbol[at], symbol[old] = joined, -1
+            symbol[at] = joined = joined_as[rank]
+            symbol[old] = -1
             after[at] = following = after[old]
-            if following >= 0:
-                before[following] = at
-                found = merge.get((joined, symbol[following]))
-                if found:
-                    heapq.heappush(queue, (found[0], at, joined, symbol[following], found[1]))
+            before[following] = at
+            rank = ranks[joined].get(symbol[following])
+            if rank is not None:
+                push(queue, rank << bits | at)
             previous = before[at]
-            if previous >= 0:
-                found = merge.get((symbol[previous], joined))
-                if found:
-                    heapq.heappush(queue, (found[0], previous, symbol[previous], joined, found[1]))
-        return tuple(s for s in symbol if s >= 0)
-
-    @contextmanager
-    def remembering(self) -> Iterator[Codec]:
-        """For the texts of one task: pieces are remembered meanwhile, and forgotten at its end."""
-        try:
-            yield self
-        finally:
-            self._cache.clear()
+            rank = ranks[symbol[previous]].get(joined)
+            if rank is not None:
+                push(queue, rank << bits | previous)
+        return tuple([s for s in symbol if s >= 0])
+
+    def remembered(self, piece: str) -> tuple[int, ...]:
+        """Token ids of a piece that was not met lately."""
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self.merged(piece)
+        if len(piece) <= CACHE_CHARS:
+            if len(self._cache) >= CACHE_PIECES // 2:
+                self._older, self._cache = self._cache, {}
+            self._cache[piece] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        cache = self._cache
         for part in self._split(text) if self._split else [text]:
             if part in self._special:
                 out.append(self._special[part])
                 continue
             for piece in self.pieces(part):
-                ids = cache.get(piece)
-                if ids is None:
-                    ids = self.merged(piece)
-                    if len(piece) <= CACHE_CHARS:
-                        if len(cache) >= CACHE_PIECES:
-                            cache.clear()
-                        cache[piece] = ids
-                out += ids
+                # The cache may be exchanged while a text is encoded.
+                out += self._cache.get(piece) or self.remembered(piece)
         return out
 
     def decode(self, ids: Iterable[int | None]) -> str:
@@ -169,11 +182,11 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        with codec(path).remembering() as use:
-            for texts in batches:
-                yield _id_lists(
-                    [None if t is None else np.array(use.encode(t), np.int32) for t in texts.to_pylist()]
-                )
+        use = codec(path)
+        for texts in batches:
+            yield _id_lists(
+                [None if t is None else np.array(use.encode(t), np.int32) for t in texts.to_pylist()]
+            )
 
     # Else a plan that uses the ids several times would encode several times.
     return ids.asNondeterministic()(text)
@@ -198,12 +211,12 @@ def round_trip(text: Column, path: str) -> Column:
 
     @F.arrow_udf("ids array<int>, decoded string")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        with codec(path).remembering() as use:
-            for texts in batches:
-                ids = [None if t is None else use.encode(t) for t in texts.to_pylist()]
-                back = pa.array([None if n is None else use.decode(n) for n in ids], pa.string())
-                lists = _id_lists([None if n is None else np.array(n, np.int32) for n in ids])
-                yield pa.StructArray.from_arrays([lists, back], ["ids", "decoded"])
+        use = codec(path)
+        for texts in batches:
+            ids = [None if t is None else use.encode(t) for t in texts.to_pylist()]
+            back = pa.array([None if n is None else use.decode(n) for n in ids], pa.string())
+            lists = _id_lists([None if n is None else np.array(n, np.int32) for n in ids])
+            yield pa.StructArray.from_arrays([lists, back], ["ids", "decoded"])
 
     return both.asNondeterministic()(text)
 
