@@ -46,8 +46,9 @@ def visible_lines(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(plain, r"[ \t\r]*\n[ \t\r\n]*", "\n"), r"^\n|\n$", "")
 
 
-def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+def _mark(line: Column) -> Column:
+    """Hash of a line without white space at its ends."""
+    return F.xxhash64(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def boilerplate(
@@ -120,7 +121,7 @@ def _dealt(
     df: DataFrame, site: str, listed: DataFrame, theirs: str, marks: str, salt: str, their_salt: str, how: str
 ) -> DataFrame:
     """``df`` with its site's list: pages are dealt to several places, and the small list to each of them."""
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    salted = df.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     kept = [F.col("site").alias(theirs), F.col("marks").alias(marks)]
     spread = listed.select(*kept, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(their_salt))
     return salted.join(spread, (F.col(site) == F.col(theirs)) & (F.col(salt) == F.col(their_salt)), how)
@@ -128,8 +129,7 @@ def _dealt(
 
 def _marks(text: Column) -> Column:
     """Hashes of the lines that are not blank."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(_trimmed(x)) > 0)
-    return F.transform(lines, lambda x: F.xxhash64(_trimmed(x)))
+    return F.filter(F.transform(F.split(text, "\n"), _mark), lambda m: m != _mark(F.lit("")))
 
 
 def drop_lines(
@@ -151,7 +151,7 @@ def drop_lines(
     theirs, marks = common.fresh(df.columns, "site"), common.fresh(df.columns, "marks")
     lines = common.fresh(df.columns, "lines")
     kept = F.filter(
-        lines, lambda x: F.coalesce(~F.array_contains(marks, F.xxhash64(_trimmed(x))), F.lit(True))
+        lines, lambda x: F.coalesce(~F.array_contains(marks, _mark(x)), F.lit(True))
     )
     salt, their_salt = common.fresh(df.columns, "salt"), common.fresh(df.columns, "their_salt")
     joined = _dealt(df, site, found, theirs, marks, salt, their_salt, how="left").withColumn(
@@ -161,7 +161,7 @@ def drop_lines(
     out = joined.withColumn(cut, F.when(F.col(marks).isNotNull(), kept).otherwise(F.col(lines)))
     if most < 1:
         lost = F.size(lines) - F.size(cut)
-        told = F.size(F.filter(lines, lambda x: F.length(_trimmed(x)) > 0))
+        told = F.size(F.filter(lines, lambda x: _mark(x) != _mark(F.lit(""))))
         out = out.withColumn(cut, F.when(lost > told * F.lit(most), F.col(lines)).otherwise(F.col(cut)))
     columns = [
         F.when(F.col(text).isNotNull(), F.array_join(cut, "\n")).alias(text) if c == text else F.col(c)

@@ -31,6 +31,13 @@ def test_lines_by_share_of_the_host(spark):
     assert lines.drop_lines(df.limit(0), "host").count() == 0
 
 
+def test_lines_beside_a_map_column(spark):
+    rows = [(n, "h", f"\x0bmenu\t\r\n\u00a0own {n}\n \x0c ", {"a": n}) for n in range(6)]
+    df = spark.createDataFrame(rows, "page_id int, host string, text string, more map<string,int>")
+    out = {r.page_id: r for r in lines.drop_lines(df, "host").collect()}
+    assert out[2].text == "\u00a0own 2\n \x0c " and out[2].more == {"a": 2}
+
+
 def test_copies_of_a_page_are_no_boilerplate(spark):
     rows = [(n, "h", "all of it\nis copied") for n in range(20)]
     rows += [(100 + n, "h", f"menu\nown {n}\nmore {n}") for n in range(20)]
