@@ -7,7 +7,7 @@ sum, because demand depends on a price relative to the group's price sum.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,14 +70,13 @@ def sum_grid(ranges: DataFrame, size: int = PRICES) -> DataFrame:
         F.col("min_cost") < F.col("max_msrp"), (F.col("count") * (size - 1)).cast("int")
     ).otherwise(0)
     return ranges.withColumn("sum_idx", F.explode(F.sequence(F.lit(0), last))).withColumn(
-        "price_sum", _price_sum(size)
+        "price_sum", price_sum(F.col("sum_idx"), size)
     )
 
 
-def _price_sum(size: int) -> Column:
-    return grid_price_sum(
-        F.col("sum_idx"), F.col("min_cost"), F.col("max_msrp"), F.col("count"), size
-    )
+def price_sum(index: Column, size: int) -> Column:
+    """Price sum number ``index`` of a row's group."""
+    return grid_price_sum(index, F.col("min_cost"), F.col("max_msrp"), F.col("count"), size)
 
 
 def with_prices(df: DataFrame, size: int) -> DataFrame:
@@ -85,7 +84,7 @@ def with_prices(df: DataFrame, size: int) -> DataFrame:
     low, high = F.col("min_cost"), F.col("max_msrp")
     return (
         df.withColumn("price", grid_price(F.col("price_idx"), low, high, size))
-        .withColumn("price_sum", _price_sum(size))
+        .withColumn("price_sum", price_sum(F.col("sum_idx"), size))
         .withColumn(
             "rl_price", relative_price(F.col("price"), F.col("count"), F.col("price_sum"))
         )
@@ -102,8 +101,10 @@ def on_grid(
     group: Sequence[str] = GROUP,
     size: int = PRICES,
     allowed: Callable[[Column], Column] | None = None,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Product rows with the group's range, their feasible price indexes and the feasible index sums.
+    """Product rows with the group's range, their feasible price indexes and the feasible index sums, and
+    the ``extra`` aggregates of the group.
 
     Fails if a product is in a group twice. Aggregates joined back and not windows: a group is a row of
     partial results in the shuffle, and a join splits a group of very many products. ``df`` is read
@@ -128,8 +129,9 @@ def on_grid(
     ends = listed.groupBy(*group).agg(
         F.sum(F.array_min("feasible.price_idx")).cast("int").alias("min_sum"),
         F.sum(F.array_max("feasible.price_idx")).cast("int").alias("max_sum"),
+        *[value.alias(name) for name, value in (extra or {}).items()],
     )
-    columns = [*df.columns, "min_cost", "max_msrp", "count", "feasible", "min_sum", "max_sum"]
+    columns = [*df.columns, "min_cost", "max_msrp", "count", "feasible", "min_sum", "max_sum", *(extra or {})]
     return listed.join(ends, list(group)).select(*columns)
 
 
@@ -150,17 +152,10 @@ def mark_valid(
     )
 
 
-def sums(
-    df: DataFrame,
-    group: Sequence[str] = GROUP,
-    size: int = PRICES,
-    allowed: Callable[[Column], Column] | None = None,
-    partitions: int | None = None,
-    only: DataFrame | None = None,
+def at_sums(
+    grid: DataFrame, group: Sequence[str], size: int, count: int, only: DataFrame | None = None
 ) -> DataFrame:
-    """A row per product and price sum that some choice of prices can reach, with its ``feasible``
-    prices (``price_idx``, ``price``, ``discount``, ``rl_price``, and ``reachable``: can the others
-    complete it to the sum).
+    """The rows of ``on_grid``, once for each price sum that some choice of prices can reach.
 
     Product rows are shuffled by group and slice. A slice is a run of price sums that makes about
     ``SLICE_ROWS`` candidates, so an ordinary group is one slice, and a huge group is spread over many
@@ -170,26 +165,46 @@ def sums(
     The shuffle has an explicit partition number: product rows are few bytes, and left to adaptive
     execution they would be merged into a handful of tasks that then make all candidates.
     """
-    count = partitions or shuffle_partitions(df)
-    placed = on_grid(df, group, size, allowed)
-    if only is None:
-        width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_ROWS) / (F.col("count") * size))).cast("int")
-        first, last = F.col("slice") * F.col("width"), (F.col("slice") + 1) * F.col("width") - 1
-        run = F.sequence(F.greatest(F.col("min_sum"), first), F.least(F.col("max_sum"), last))
-        rows = (
-            placed.withColumn("width", width)
-            .withColumn("slice", F.explode(F.expr("sequence(min_sum div width, max_sum div width)")))
-            .withColumn("slice", F.col("slice").cast("int"))
-            .repartition(count, *group, "slice")
-            .withColumn("sum_idx", F.explode(run))
-            .drop("width")
-        )
-    else:
+    if only is not None:
         named = only.select(*group, "sum_idx").withColumn("slice", F.col("sum_idx"))
-        rows = placed.join(named, list(group)).repartition(count, *group, "slice")
+        return grid.join(named, list(group)).repartition(count, *group, "slice")
+    width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_ROWS) / (F.col("count") * size))).cast("int")
+    first, last = F.col("slice") * F.col("width"), (F.col("slice") + 1) * F.col("width") - 1
+    run = F.sequence(F.greatest(F.col("min_sum"), first), F.least(F.col("max_sum"), last))
+    return (
+        grid.withColumn("width", width)
+        .withColumn("slice", F.explode(F.expr("sequence(min_sum div width, max_sum div width)")))
+        .withColumn("slice", F.col("slice").cast("int"))
+        .repartition(count, *group, "slice")
+        .withColumn("sum_idx", F.explode(run))
+        .drop("width")
+    )
+
+
+def rest_sums() -> tuple[Column, Column]:
+    """Least and greatest index sum of the other products of a group."""
+    return (
+        F.col("min_sum") - F.array_min("feasible.price_idx"),
+        F.col("max_sum") - F.array_max("feasible.price_idx"),
+    )
+
+
+def sums(
+    df: DataFrame,
+    group: Sequence[str] = GROUP,
+    size: int = PRICES,
+    allowed: Callable[[Column], Column] | None = None,
+    partitions: int | None = None,
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """A row per product and price sum that some choice of prices can reach, with its ``feasible``
+    prices (``price_idx``, ``price``, ``discount``, ``rl_price``, and ``reachable``: can the others
+    complete it to the sum)."""
+    rows = at_sums(
+        on_grid(df, group, size, allowed), group, size, partitions or shuffle_partitions(df), only
+    )
     # What depends on the price sum or on the price alone is computed before rows multiply.
-    rest_low = F.col("min_sum") - F.array_min("feasible.price_idx")
-    rest_high = F.col("max_sum") - F.array_max("feasible.price_idx")
+    rest_low, rest_high = rest_sums()
     prices = F.transform(
         "feasible",
         lambda p: F.struct(
@@ -201,7 +216,7 @@ def sums(
         ),
     )
     return (
-        rows.withColumn("price_sum", _price_sum(size))
+        rows.withColumn("price_sum", price_sum(F.col("sum_idx"), size))
         .withColumn("feasible", prices)
         .drop("min_sum", "max_sum")
     )
