@@ -290,6 +290,12 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
+_FIT = f"""
+fit AS (
+    SELECT product_id, count(*) AS observations, {_settle("regr_slope(sales, price)", 9)} AS slope,
+           {_settle("regr_intercept(sales, price)", 4)} AS intercept
+    FROM aggregated WHERE price IS NOT NULL GROUP BY product_id HAVING min(price) < max(price)
+)"""
 _FEATURES = f"""
 priced_rows AS (
     SELECT *, sum(price) OVER g AS price_sum, count(*) OVER g AS count
@@ -426,8 +432,25 @@ FROM aggregated WHERE price > 0 AND sales > 0
 GROUP BY store_id, department_id HAVING min(price) < max(price)""",
     "recommended_weeks": _with(_BASE, _LATEST)
     + " SELECT DISTINCT CAST(week_start AS VARCHAR) AS week_start FROM offered ORDER BY 1",
-    "export_prices": _with(_SALE, _PRICE_CHANGE)
-    + " SELECT product_id, store_id, date AS week_start, price FROM price_change",
+    "export_prices": _recommend(_LATEST)
+    + " SELECT product_id, store_id, strftime(week_start, '%Y-%m-%d %H:%M:%S') AS week_start, price FROM recommended",
+    "fitted_demand": _with(_BASE, _FIT) + " SELECT product_id, observations, slope, intercept FROM fit",
+    "recommend_fitted": _with(_BASE, _LATEST, _RANGES, _GRIDS, _FIT)
+    + f"""
+SELECT {_G_TEXT}, product_id, price, units AS pred_demand
+FROM (
+    SELECT *, row_number() OVER (PARTITION BY {_G}, product_id ORDER BY (price - cost) * units DESC, j) AS place
+    FROM (SELECT *, greatest(floor(wanted) + CASE WHEN wanted - floor(wanted) >= 0.5 THEN 1 ELSE 0 END, 0e0) AS units
+          FROM (SELECT f.*, coalesce(intercept, 1e0) + coalesce(slope, 0e0) * price AS wanted
+                FROM feasible f LEFT JOIN fit USING (product_id))))
+WHERE place = 1""",
+    "elasticity_levels": _with(_BASE)
+    + f"""
+SELECT CASE WHEN grouping(department_id) = 0 THEN 'department' WHEN grouping(store_id) = 0 THEN 'store' ELSE 'all' END AS level,
+       coalesce(department_id, store_id, 'all') AS name, count(*) AS observations,
+       {_settle("regr_slope(ln(sales), ln(price))")} AS elasticity
+FROM aggregated WHERE price > 0 AND sales > 0
+GROUP BY GROUPING SETS ((department_id), (store_id), ()) HAVING min(price) < max(price)""",
     "sql_views": _with(_BASE)
     + """
 SELECT CAST(week_start AS VARCHAR) AS week_start, department_id, group_val, count(*) AS products,

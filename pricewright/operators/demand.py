@@ -58,6 +58,28 @@ class Linear:
         return candidates.withColumn("prediction", self.demand(F.col))
 
 
+@dataclass(frozen=True)
+class Fitted(Linear):
+    """A line of demand over price for each product: ``lines`` has ``product_id``, ``intercept``, ``slope``.
+
+    A product without a line sells ``base`` at any price.
+    """
+
+    lines: DataFrame | None = None
+
+    def prepare(self, products: DataFrame) -> DataFrame:
+        known = self.lines.select("product_id", "intercept", "slope")
+        joined = products.join(known, "product_id", "left")
+        return joined.select(
+            *products.columns,
+            F.coalesce("intercept", F.lit(self.base)).alias("line_base"),
+            F.coalesce("slope", F.lit(0.0)).alias("line_slope"),
+        )
+
+    def demand(self, value: Callable[[str], Column]) -> Column:
+        return F.col("line_base") + F.col("line_slope") * value("price")
+
+
 @dataclass(frozen=True)
 class Forest:
     """A fitted pipeline: index, encode, assemble, forest."""

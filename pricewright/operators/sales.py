@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +55,27 @@ def attach_dims(sales: DataFrame, products: DataFrame, stores: DataFrame) -> Dat
 def add_up(rows: DataFrame) -> DataFrame:
     """One row a week, store and product from the rows that several cycles wrote.
 
-    A late sale arrives without the price of its week, so the price is the one that is known.
+    A late sale arrives without the price of its week, so all else is of one row whose price is known.
     """
-    others = [c for c in rows.columns if c not in (*KEY, "sales", WRITTEN_BY)]
-    return rows.groupBy(*KEY).agg(
-        F.sum("sales").alias("sales"), *[F.max(c).alias(c) for c in others]
-    )
+    others = in_row_order(rows.columns)
+    if not others:
+        return rows.groupBy(*KEY).agg(F.sum("sales").alias("sales"))
+    summed = rows.groupBy(*KEY).agg(F.sum("sales").alias("sales"), F.max(F.struct(*others)).alias("_row"))
+    return summed.select(*KEY, "sales", "_row.*")
+
+
+def in_row_order(columns: Sequence[str]) -> list[str]:
+    """Columns besides key and sales, the price first: the greatest row has a price if any has."""
+    others = [c for c in columns if c not in (*KEY, "sales", WRITTEN_BY)]
+    return sorted(others, key=lambda c: c != "price")
+
+
+def added_up_sql(table: str, columns: Sequence[str]) -> str:
+    """``add_up`` of a catalog table as a statement, for a view that outlives the session."""
+    others, key = in_row_order(columns), ", ".join(KEY)
+    row = f", max(struct({', '.join(others)})) AS _row" if others else ""
+    inner = f"SELECT {key}, sum(sales) AS sales{row} FROM {table} GROUP BY {key}"
+    return f"SELECT {key}, sales{', _row.*' if others else ''} FROM ({inner})"
 
 
 def aggregate(

@@ -118,23 +118,23 @@ def recommend(
 ) -> None:
     """Recommended prices of the treatment stores for the week after the cycle."""
     began = time.monotonic()
-    last = sales.add_up(latest(tables.read_weeks(spark, at.sales), cycle))
-    offered = candidates.products(experiment.treated(last), cycle, settings.weeks_ahead)
-    products = scratch.stage(offered, "products")
-    if products.isEmpty():
-        raise ValueError(f"no treatment store sold anything in the week of {cycle.latest}")
-    model = demand.Forest(registry.load_latest(spark, at.models))
-    chosen = optimize.recommend(
-        products, model, settings.group, settings.prices, settings.allowed
-    )
-    tables.write_weeks(chosen, at.recommendations, cycle)
-    target = cycle.latest + timedelta(days=cycle.days * (settings.weeks_ahead + 1))
-    written = tables.read_weeks(spark, at.recommendations).where(
-        (F.col(tables.WRITTEN_BY) == F.lit(cycle.start)) & (F.col("week_start") == F.lit(target))
-    )
-    tables.export_prices(written, at.exports, cycle)
-    tables.save_weeks_table(written, "df_opt", cycle)
-    scratch.release(spark)
+    with scratch.job(spark):
+        last = sales.add_up(latest(tables.read_weeks(spark, at.sales), cycle))
+        offered = candidates.products(experiment.treated(last), cycle, settings.weeks_ahead)
+        products = scratch.stage(offered, "products")
+        if products.isEmpty():
+            raise ValueError(f"no treatment store sold anything in the week of {cycle.latest}")
+        model = demand.Forest(registry.load_latest(spark, at.models))
+        chosen = optimize.recommend(
+            products, model, settings.group, settings.prices, settings.allowed
+        )
+        tables.write_weeks(chosen, at.recommendations, cycle)
+        target = cycle.latest + timedelta(days=cycle.days * (settings.weeks_ahead + 1))
+        written = tables.read_weeks(spark, at.recommendations).where(
+            (F.col(tables.WRITTEN_BY) == F.lit(cycle.start)) & (F.col("week_start") == F.lit(target))
+        )
+        tables.export_prices(written, at.exports, cycle)
+        tables.save_weeks_table(written, "df_opt", cycle)
     seconds = time.monotonic() - began
     reports.log_step(spark, "df_time", reports.OPTIMIZATION, seconds, str(cycle.latest))
     finished = reports.step_times(tables.read_table(spark, "df_time"))
@@ -147,8 +147,10 @@ def views(spark: SparkSession, at: Locations) -> None:
         {
             "Aggregated_Sales_Data": sales.add_up(tables.read_weeks(spark, at.sales)),
             "Optimization_Result_Data": tables.read_weeks(spark, at.recommendations),
-            "Sales_Aggregation": tables.read_table(spark, "df_sales"),
-            "Optimization_Results": tables.read_table(spark, "df_opt"),
-            "Model_Performance": tables.read_table(spark, "df_model_performance"),
         }
     )
+    # Catalog views, for other sessions as well; a late sale is part of its week's row.
+    of_sales = sales.added_up_sql("df_sales", spark.table("df_sales").columns)
+    tables.save_view(spark, "Sales_Aggregation", of_sales)
+    tables.save_view(spark, "Optimization_Results", "SELECT * FROM df_opt")
+    tables.save_view(spark, "Model_Performance", "SELECT * FROM df_model_performance")

@@ -20,7 +20,16 @@ from pricewright.functions.calendar import (
     sales_days,
 )
 from pricewright.functions.measures import group_key
-from pricewright.operators import candidates, demand, experiment, features, optimize, reports, sales
+from pricewright.operators import (
+    candidates,
+    demand,
+    experiment,
+    features,
+    optimize,
+    regression,
+    reports,
+    sales,
+)
 from pricewright.sources import dimensions, logs, registry, scratch, star_schema, tables
 from pricewright.sources.star_schema import CYCLE
 
@@ -295,8 +304,9 @@ def published_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def export_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommended prices for the week after the cycle, exported and read."""
     root = scratch.folder(spark, "exports")
-    path = tables.export_prices(star_schema.price_changes(spark, folder), root, CYCLE)
+    path = tables.export_prices(_recommended(spark, folder, every_week=False), root, CYCLE)
     return spark.read.schema(
         "product_id string, store_id string, week_start string, price double"
     ).csv(path)
@@ -434,10 +444,24 @@ def forest_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     weekly = scratch.stage(aggregated(spark, folder), "weekly")
     forest = demand.train(features.price_features(weekly))
     products = candidates.products(experiment.treated(latest(weekly, CYCLE)), CYCLE)
-    chosen = optimize.recommend(scratch.stage(products, "products"), forest)
-    fits = F.col("price").between(F.col("cost"), F.col("msrp")) | (F.col("pred_demand") >= 0)
+    products = scratch.stage(products, "products")
+    chosen = scratch.stage(optimize.recommend(products, forest), "chosen")
+    # Is the price a feasible one of the grid, and do the group's prices add up to its price sum?
+    key = [*features.GROUP, "product_id", "price"]
+    feasible = candidates.mark_valid(products).where("valid").select(*key, F.lit(True).alias("feasible"))
+    totals = chosen.groupBy(*features.GROUP).agg(F.sum("price").alias("total"), F.count("*").alias("priced"))
+    fits = (
+        F.col("feasible")
+        & (F.abs(F.col("total") - F.col("price_sum")) <= F.col("price_sum") * 1e-9)
+        & (F.col("priced") == F.col("count"))
+        & (F.col("pred_demand") >= 0)
+    )
+    met = chosen.join(feasible, key, "left").join(totals, list(features.GROUP))
     return _text(
-        chosen.select("week_start", "store_id", "department_id", "product_id", fits.cast("int").alias("fits"))
+        met.select(
+            "week_start", "store_id", "department_id", "product_id",
+            F.coalesce(fits, F.lit(False)).cast("int").alias("fits"),
+        )
     )
 
 
@@ -542,9 +566,46 @@ def recommend_every_week(spark: SparkSession, folder: str) -> DataFrame:
     return _text(_recommended(spark, folder, every_week=True))
 
 
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    stored = regression.moments(aggregated(spark, folder), ["product_id"], F.col("price"), F.col("sales").cast("double"))
+    return regression.lines(stored).select(
+        "product_id", "observations",
+        settle(F.col("slope"), 9).alias("slope"), settle(F.col("intercept"), 4).alias("intercept"),
+    )
+
+
+def fitted_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """The line of weekly sales over price of each product, from moments."""
+    return _lines(spark, folder)
+
+
+def recommend_fitted(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommended prices for the week after the cycle, by the products' own lines of demand."""
+    lines = scratch.stage(_lines(spark, folder), "lines")
+    products = scratch.stage(offered(spark, folder, every_week=False), "products")
+    chosen = optimize.recommend(products, demand.Fitted(base=1.0, lines=lines))
+    return _text(chosen.select(*features.GROUP, "product_id", "price", "pred_demand"))
+
+
 # Reports.
 
 
+def elasticity_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Elasticity by department, by store and overall, all added up from one stored table of moments."""
+    usable = aggregated(spark, folder).where("price > 0 AND sales > 0")
+    finest = ["store_id", "department_id", "product_id"]
+    stored = scratch.stage(regression.moments(usable, finest, F.ln("price"), F.ln("sales")), "moments")
+    levels = []
+    for level, by in (("department", ["department_id"]), ("store", ["store_id"]), ("all", [])):
+        name = F.col(by[0]) if by else F.lit("all")
+        levels.append(
+            regression.lines(regression.add_up(stored, by)).select(
+                F.lit(level).alias("level"), name.alias("name"), "observations", settle(F.col("slope")).alias("elasticity")
+            )
+        )
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 def elasticity(spark: SparkSession, folder: str) -> DataFrame:
     curves = reports.elasticity(aggregated(spark, folder), ["department_id", "product_id"])
     return curves.withColumn("elasticity", settle(F.col("elasticity")))
@@ -637,6 +698,9 @@ QUERIES: dict[str, Query] = {
     "best_price_sum": best_price_sum,
     "recommend_prices": recommend_prices,
     "recommend_every_week": recommend_every_week,
+    "fitted_demand": fitted_demand,
+    "recommend_fitted": recommend_fitted,
+    "elasticity_levels": elasticity_levels,
     "forest_scores": forest_scores,
     "forest_recommendations": forest_recommendations,
     "elasticity": elasticity,

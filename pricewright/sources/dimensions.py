@@ -24,7 +24,7 @@ def read_dimension(
     """A file with a header whose columns are renamed by position.
 
     Categorical fields stay text without quotes, all others become doubles. An empty field is null; a
-    field that is no number is an error.
+    field that is no number is an error, and so is a line with too few or too many fields.
     """
 
     def number(name: str) -> Column:
@@ -33,7 +33,9 @@ def read_dimension(
         return F.when(F.col(name).isNull() | made.isNotNull(), made).otherwise(refused.cast("double"))
 
     schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    # All columns are parsed, or a short line would only show where its last field is asked for.
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+    raw = reader.option("mode", "FAILFAST").option("columnPruning", False).csv(path)
     return raw.select(
         *[
             F.regexp_replace(name, '"', "").alias(name)

@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables staged outside a job, and the list of the job that runs here, if one does.
 _staged: list[str] = []
+_of_job: ContextVar[list[str] | None] = ContextVar("staged tables of the running job", default=None)
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -35,12 +40,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    _staged.append(path)
+    mine = _of_job.get()
+    (_staged if mine is None else mine).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Empty the tables staged so far. For the end of a job, when nothing reads them any more."""
+    """Empty the tables staged outside a job so far. For the end of a process's work."""
+    _empty(spark, _staged)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is emptied at the end; results of others in this process stay readable."""
+    mine: list[str] = []
+    token = _of_job.set(mine)
+    try:
+        yield
+    finally:
+        _of_job.reset(token)
+        _empty(spark, mine)
+
+
+def _empty(spark: SparkSession, paths: list[str]) -> None:
     nothing = spark.createDataFrame([], "empty int")
-    while _staged:
-        nothing.write.mode("overwrite").parquet(_staged.pop())
+    while paths:
+        nothing.write.mode("overwrite").parquet(paths.pop())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,8 @@ from pricewright.functions.calendar import Cycle
 #: Partition columns of week tables: the cycle that wrote the rows, and their week.
 WRITTEN_BY = "cycle_start"
 WEEK = "week_start"
+#: Append-only table beside the cycles' folders: which version of a cycle was published, and when.
+MANIFEST = "_published"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -33,7 +36,13 @@ def read_weeks(spark: SparkSession, path: str) -> DataFrame:
     Each row names the cycle that wrote it. A week can hold rows of several cycles, as a cycle may
     also deliver late sales of an earlier week; ``sales.add_up`` makes one row of them.
     """
-    df = spark.read.parquet(path)
+    root = path.rstrip("/")
+    newest = (
+        spark.read.parquet(f"{root}/{MANIFEST}").groupBy(WRITTEN_BY).agg(F.max_by("version", "published").alias("version"))
+    )
+    # A line for each cycle.
+    parts = [f"{root}/{WRITTEN_BY}={r[WRITTEN_BY]}/version={r['version']}" for r in newest.collect()]
+    df = spark.read.option("basePath", root).parquet(*sorted(parts)).drop("version")
     return df.withColumn(WEEK, F.col(WEEK).cast("date")).withColumn(
         WRITTEN_BY, F.col(WRITTEN_BY).cast("date")
     )
@@ -50,17 +59,26 @@ def write_weeks(df: DataFrame, path: str, cycle: Cycle) -> None:
     late sale is added to its week. The cycle is the outer partition, so a repeat also clears weeks
     that it no longer has.
 
+    The rows go to a new version's folder first; only then a line in the manifest makes readers take it in
+    place of the cycle's earlier one, whose files go last. A run that dies half-way leaves what was
+    published before.
+
     The rebalance hint puts a week's rows together, splits a week too large for one task and
     merges small ones, so neither tiny files nor one huge writer task come about.
     """
-    (
-        df.drop(WRITTEN_BY)
-        .hint("rebalance", WEEK)
-        .write.partitionBy(WEEK)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .parquet(f"{path.rstrip('/')}/{WRITTEN_BY}={cycle.start}")
+    root, version = path.rstrip("/"), f"v{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, f"{root}/{WRITTEN_BY}={cycle.start}"
+    made = df.drop(WRITTEN_BY).hint("rebalance", WEEK).write.partitionBy(WEEK)
+    made.parquet(f"{folder}/version={version}")
+    line = spark.range(1).select(
+        F.lit(cycle.start).alias(WRITTEN_BY), F.lit(version).alias("version"), F.current_timestamp().alias("published")
     )
+    line.write.mode("append").parquet(f"{root}/{MANIFEST}")
+    # A line for each run of this cycle. Readers of the bare folders find one version, too.
+    runs = spark.read.parquet(f"{root}/{MANIFEST}").where(F.col(WRITTEN_BY) == F.lit(cycle.start))
+    nothing = spark.createDataFrame([], df.drop(WRITTEN_BY).schema)
+    for run in runs.where(F.col("version") != version).select("version").distinct().collect():
+        nothing.write.partitionBy(WEEK).mode("overwrite").parquet(f"{folder}/version={run['version']}")
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -125,6 +143,11 @@ def export_prices(chosen: DataFrame, root: str, cycle: Cycle) -> str:
     return path
 
 
+def save_view(spark: SparkSession, name: str, statement: str) -> None:
+    """A view in the catalog, which other sessions see too."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {statement}")
+
+
 def register(frames: Mapping[str, DataFrame]) -> None:
     """Make results queryable by SQL under the given names."""
     for name, df in frames.items():

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import math
+import uuid
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions.calendar import Cycle, latest, to_day
-from pricewright.operators import demand, experiment, features, reports, sales
+from pricewright.operators import demand, experiment, features, optimize, regression, reports, sales
 from pricewright.sources import dimensions, logs, registry, scratch, tables
 
 CYCLE = Cycle(date(2017, 1, 2), date(2017, 1, 16))
@@ -345,3 +347,82 @@ def test_preview_and_weeks(spark):
     df = weekly_frame(spark, [(9, 2), (2, 1), (2, 5)])
     assert [r["n"] for r in reports.preview(df, 2, ["n"]).collect()] == [1, 2]
     assert [r[0].day for r in reports.weeks(df).collect()] == [2, 9]
+
+
+def test_lines_from_moments(spark):
+    """Moments of parts add up to the fit of all; one x or no pair has no line."""
+    rows = [("a", s, float(x), 3.0 - 0.5 * x + (x % 3)) for s in "12" for x in range(1, 9)]
+    rows += [("b", "1", 2.0, 5.0), ("b", "2", 2.0, 6.0), ("c", "1", None, 1.0), ("c", "1", 1.0, None)]
+    df = spark.createDataFrame(rows, "k string, s string, x double, y double")
+    stored = regression.moments(df, ["k", "s"], F.col("x"), F.col("y"))
+    whole = {r.k: r for r in regression.lines(regression.add_up(stored, ["k"])).collect()}
+    want = df.where("k = 'a'").agg(F.regr_slope("y", "x").alias("s"), F.regr_intercept("y", "x").alias("i")).first()
+    assert set(whole) == {"a"} and whole["a"].observations == 16
+    assert abs(whole["a"].slope - want.s) < 1e-9 and abs(whole["a"].intercept - want.i) < 1e-9
+    assert regression.add_up(stored, []).first().observations == 18
+
+
+def test_fitted_demand_prices_each_product_by_its_own_line(spark):
+    lines = spark.createDataFrame([("a", 20.0, -1.0), ("b", 9.0, -0.5)], "product_id string, intercept double, slope double")
+    week = date(2017, 1, 9)
+    rows = [("1", p, "d", "b", 12.0, 3.0, 1.0, 2.0, week) for p in "abc"]
+    df = spark.createDataFrame(rows, "store_id string, product_id string, department_id string, brand_id string, msrp double, cost double, avg_hhi double, avg_traffic double, week_start date")
+    chosen = {r.product_id: (r.price, r.pred_demand) for r in optimize.recommend(df, demand.Fitted(base=4.0, lines=lines)).collect()}
+
+    def best(base, slope):
+        grid = [3.0 + j for j in range(10)]
+        return max(((p, float(max(math.floor(base + slope * p + 0.5), 0))) for p in grid), key=lambda c: ((c[0] - 3.0) * c[1], -c[0]))
+
+    assert chosen == {"a": best(20.0, -1.0), "b": best(9.0, -0.5), "c": best(4.0, 0.0)}
+
+
+def test_a_write_that_fails_half_way_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "weeks")
+    tables.write_weeks(weekly_frame(spark, [(2, 5), (9, 3)]), path, CYCLE)
+    before = sorted(map(tuple, tables.read_weeks(spark, path).collect()))
+    broken = weekly_frame(spark, [(2, 7), (9, 8)]).withColumn(
+        "n", F.when(F.col("n") == 8, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("n"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        tables.write_weeks(broken, path, CYCLE)
+    assert sorted(map(tuple, tables.read_weeks(spark, path).collect())) == before
+    assert spark.read.parquet(path).count() == 2
+    tables.write_weeks(weekly_frame(spark, [(2, 7)]), path, CYCLE)
+    assert [r.n for r in tables.read_weeks(spark, path).collect()] == [7]
+    assert [r.n for r in spark.read.parquet(path).collect()] == [7]
+
+
+def test_short_lines_of_a_dimension_are_errors(spark, tmp_path):
+    for n, line in enumerate(("1,b,p,2.5", "1,b,p,2.5,1,9")):
+        file = tmp_path / f"products{n}.csv"
+        file.write_text(f"D,B,P,M,C\n1,b,q,2.0,1.0\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+            dimensions.read_products(spark, str(file)).select("product_id").collect()
+
+
+def test_a_job_empties_its_own_tables_only(spark):
+    outside = scratch.stage(spark.range(3), "outside")
+    with scratch.job(spark):
+        inside = scratch.stage(spark.range(4), "inside")
+        assert inside.count() == 4
+    assert outside.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        inside.collect()
+
+
+def test_added_up_rows_come_from_one_row(spark):
+    rows = [(date(2017, 1, 2), "1", "p", 1, 2.0, "2017-01-02"), (date(2017, 1, 2), "1", "p", 2, None, "2017-01-09")]
+    df = spark.createDataFrame(rows, "week_start date, store_id string, product_id string, sales bigint, price double, date string")
+    assert sales.add_up(df).first()[3:] == (3, 2.0, "2017-01-02")
+
+
+def test_catalog_view_is_seen_by_other_sessions(spark, tmp_path):
+    name = f"late_{uuid.uuid4().hex}"
+    for rows, cycle in (([(2, 1), (9, 2)], EARLIER), ([(2, 5), (9, 3)], CYCLE)):
+        weekly = weekly_frame(spark, rows).select("*", F.lit("p").alias("product_id"), F.col("n").alias("sales"))
+        tables.save_weeks_table(weekly, name, cycle, str(tmp_path / name))
+    tables.save_view(spark, f"{name}_view", sales.added_up_sql(name, spark.table(name).columns))
+    seen = spark.newSession().table(f"{name}_view")
+    want = sales.add_up(spark.table(name))
+    assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, want.collect()))
+    assert seen.count() == seen.select(*sales.KEY).distinct().count() < spark.table(name).count()
