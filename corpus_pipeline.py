@@ -3,8 +3,9 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which
 is written and read again as the next one's docs. All but the last return the columns of documents.
 
-Edge cases: rows of a null id are never near copies to be dropped; of rows that repeat an id one stays
-after the near-duplicate stage; an empty table passes through; extra columns of documents stay.
+Edge cases: rows of a null id are never near copies to be dropped; of rows that repeat an id and its text
+one stays after the near-duplicate stage, and different texts of one id are separate documents; an empty
+table passes through; extra columns of documents stay, maps too.
 """
 
 from __future__ import annotations
@@ -44,24 +45,36 @@ def strip_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    mine = fresh(docs.columns, "place")
-    line = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_last() for c in sorted(docs.columns)])
-    named = docs.join(kept, "doc_id", "left_semi")
-    first = named.withColumn(mine, F.row_number().over(line)).where(F.col(mine) == 1)
-    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Keeps the document with the smallest id of each group of near copies.
+
+    A document is an id with its text: different texts under one id are judged apart.
+    """
+    key = fresh(docs.columns, "row_key")
+    named = docs.where("doc_id IS NOT NULL").withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = minhash.near_duplicates(named, key=key).select(F.col("doc_id").alias(key), "component_id").distinct()
+    ids = named.select(key, F.col("doc_id").alias("id")).distinct()
+    first = groups.join(ids, key).groupBy("component_id").agg(F.min(F.struct("id", key)).alias("first"))
+    kept = named.join(first.select(f"first.{key}"), key, "left_semi").dropDuplicates([key])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the mix says: not at all, once, or up to three times."""
-    mixed = mixing.mix(docs, whole=True)
-    taken = mixed.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    times, theirs = fresh(docs.columns, "times"), fresh(docs.columns, "taken_id")
-    counted = taken.select(F.col("doc_id").alias(theirs), F.col("copies").alias(times))
-    met = docs.join(counted, docs["doc_id"].eqNullSafe(counted[theirs]))
-    number = fresh([*docs.columns, times, theirs], "number")
-    return met.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    """Takes each document as often as the mix says: not at all, once, or up to three times.
+
+    Rows are met by id, text and source, so rows without id or of one id keep their own copies; rows equal
+    in all three share theirs.
+    """
+    key = fresh(docs.columns, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text", "source"))
+    mixed = mixing.mix(keyed, key=key, whole=True)
+    taken = mixed.groupBy(F.col("doc_id").alias(key)).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    place, times = fresh(keyed.columns, "place"), fresh(keyed.columns, "times")
+    counts = taken.where("copies > 0").select(key, F.struct("copies", "rows").alias(times))
+    # Rows of a key come sorted out of the join.
+    line = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    copies = F.expr(f"int({times}.copies div {times}.rows + int({place} <= {times}.copies % {times}.rows))")
+    met = keyed.join(counts, key).withColumn(place, line).withColumn(times, copies).where(F.col(times) > 0)
+    return met.withColumn(place, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

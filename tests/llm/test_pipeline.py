@@ -121,3 +121,24 @@ def test_small_sources_lose_boilerplate_too(spark):
     out = {r.doc_id: r.text for r in P.strip_lines(spark, docs, FOLDER).collect()}
     assert all(out[n] == f"own line {n}" for n in range(6))
     assert all(out[100 + n] == f"another line {n}" for n in range(100))
+
+
+def test_documents_of_one_id_or_none_are_judged_apart(spark):
+    texts = [" ".join(f"t{n}w{k}" for k in range(30)) for n in range(40)]
+    rows = [(1, t, "a") for t in texts] + [(2, texts[0] + " more", "a"), (0, texts[1], "b"), (1, texts[2], "a")]
+    rows += [(None, t, "a") for t in texts]
+    docs = spark.createDataFrame([(*r, {"a": 1}) for r in rows], "doc_id bigint, text string, source string, more map<string,int>")
+    left = Counter((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs, FOLDER).collect())
+    want = {(1, t) for t in texts} - {(1, texts[1])} | {(0, texts[1])} | {(None, t) for t in texts}
+    assert left == Counter(dict.fromkeys(want, 1))
+
+
+def test_mixing_gives_rows_their_own_copies(spark):
+    rows = [(None if n < 50 else 7, f"w{n} " * (1 + n % 9), f"s{n % 3}") for n in range(100)] + [(7, "same same", "s1")] * 9
+    docs = spark.createDataFrame([(*r, {"a": 1}) for r in rows], "doc_id bigint, text string, source string, more map<string,int>")
+    out = Counter((r.doc_id, r.text, r.source) for r in P.mix_sources(spark, docs, FOLDER).collect())
+    key = F.xxhash64("doc_id", "text", "source")
+    mixed = P.mixing.mix(docs.withColumn("k", key), key="k", whole=True).groupBy(F.col("doc_id").alias("k")).agg(F.sum("copies").alias("n"))
+    want = {r.k: r.n for r in mixed.collect()}
+    names = {r.k: (r.doc_id, r.text, r.source) for r in docs.select("*", key.alias("k")).collect()}
+    assert out == Counter({names[k]: n for k, n in want.items() if n})
