@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Unicode tables are older. A text with any other is split by that library's own splitter.
 SETTLED = r"[\0-՗ -⁯　-〿ぁ-ヾ一-鿕가-힣]*+"
 
-#: Pieces that a worker remembers, and the longest piece remembered.
+#: Pieces remembered in a task, and the longest piece remembered.
 CACHE_PIECES = 300_000
 CACHE_CHARS = 64
 
@@ -146,6 +147,14 @@ class Codec:
             self._cache[piece] = ids
         return ids
 
+    @contextmanager
+    def remembering(self) -> Iterator[Codec]:
+        """For the texts of one task: pieces are forgotten at its end, so that idle workers hold none."""
+        try:
+            yield self
+        finally:
+            self._cache, self._older = {}, {}
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for part in self._split(text) if self._split else [text]:
@@ -182,11 +191,11 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        use = codec(path)
-        for texts in batches:
-            yield _id_lists(
-                [None if t is None else np.array(use.encode(t), np.int32) for t in texts.to_pylist()]
-            )
+        with codec(path).remembering() as use:
+            for texts in batches:
+                yield _id_lists(
+                    [None if t is None else np.array(use.encode(t), np.int32) for t in texts.to_pylist()]
+                )
 
     # Else a plan that uses the ids several times would encode several times.
     return ids.asNondeterministic()(text)
@@ -211,12 +220,12 @@ def round_trip(text: Column, path: str) -> Column:
 
     @F.arrow_udf("ids array<int>, decoded string")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        use = codec(path)
-        for texts in batches:
-            ids = [None if t is None else use.encode(t) for t in texts.to_pylist()]
-            back = pa.array([None if n is None else use.decode(n) for n in ids], pa.string())
-            lists = _id_lists([None if n is None else np.array(n, np.int32) for n in ids])
-            yield pa.StructArray.from_arrays([lists, back], ["ids", "decoded"])
+        with codec(path).remembering() as use:
+            for texts in batches:
+                ids = [None if t is None else use.encode(t) for t in texts.to_pylist()]
+                back = pa.array([None if n is None else use.decode(n) for n in ids], pa.string())
+                lists = _id_lists([None if n is None else np.array(n, np.int32) for n in ids])
+                yield pa.StructArray.from_arrays([lists, back], ["ids", "decoded"])
 
     return both.asNondeterministic()(text)
 
