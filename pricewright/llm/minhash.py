@@ -91,7 +91,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(df: DataFrame, key: str, text: str, words: int, k: int = K) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key`` (of the whole set) and ``sketch`` of every row."""
+    """``doc_id``, ``text_key``, ``n_shingles``, ``set_key`` (of the whole set) and ``sketch`` of every row."""
 
     @F.arrow_udf("n_shingles int, set_key binary, sketch array<bigint>")
     def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -107,8 +107,8 @@ def sketches(df: DataFrame, key: str, text: str, words: int, k: int = K) -> Data
                 ["n_shingles", "set_key", "sketch"],
             )
 
-    made = df.select(F.col(key).alias("doc_id"), sketch(F.col(text)).alias("s"))
-    return made.select("doc_id", "s.n_shingles", "s.set_key", "s.sketch")
+    made = df.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_key"), sketch(F.col(text)).alias("s"))
+    return made.select("doc_id", "text_key", "s.n_shingles", "s.set_key", "s.sketch")
 
 
 def _listed(classes: DataFrame, values: Column, least: Column) -> DataFrame:
@@ -201,7 +201,10 @@ def _sets(rows: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def _full_sets(df: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
-    """The wanted classes with their ``shingles``, made from their documents again."""
+    """The wanted classes with their ``shingles``, made from their documents again.
+
+    A class meets the rows of its id and text only: rows without id or of one id are not all met by each.
+    """
 
     @F.arrow_udf("set_key binary, shingles array<bigint>")
     def full(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -217,13 +220,13 @@ def _full_sets(df: DataFrame, key: str, text: str, words: int, wanted: DataFrame
     def named(c: Column) -> Column:
         return F.coalesce(c.cast("string"), F.lit("none"))
 
-    texts = df.select(named(F.col(key)).alias("name"), F.col(text).alias("text"))
-    met = wanted.withColumn("name", named(F.col("rep"))).join(texts, "name").withColumn("f", full("text"))
-    # Of rows that share an id, those of another set go; equal ones are one.
+    texts = df.select(named(F.col(key)).alias("name"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    met = wanted.withColumn("name", named(F.col("rep"))).join(texts, ["name", "text_key"]).withColumn("f", full("text"))
+    # Another text of the same hash goes; equal rows are one.
     return (
         met.where(F.col("set_key") == F.col("f.set_key"))
         .withColumn("shingles", F.col("f.shingles"))
-        .drop("f", "text", "rep", "set_key")
+        .drop("f", "text", "rep", "set_key", "text_key")
         .dropDuplicates(["name", "class_id"])
         .drop("name")
     )
@@ -426,10 +429,13 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row."""
     rows = common.stage(sketches(df, key, text, words, k), "minhash-rows")
+    # The row that stands for a class: the smallest id there is, and one text of it.
+    stands = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key"))
     classes = common.stage(
         rows.where("n_shingles > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(stands.alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .select("set_key", F.col("one.doc_id").alias("rep"), "one.text_key", "n_shingles", "sketch")
         .withColumn("class_id", F.monotonically_increasing_id()),
         "minhash-classes",
     )
@@ -447,7 +453,7 @@ def near_duplicates(
     wanted = (
         homes.join(sizes, "hub")
         .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-        .join(classes.select("class_id", "rep", "set_key"), "class_id")
+        .join(classes.select("class_id", "rep", "text_key", "set_key"), "class_id")
     )
     sets = common.stage(_full_sets(df, key, text, words, wanted), "minhash-sets")
     celled = common.stage(

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from pricewright.llm import minhash
 
 
@@ -92,6 +94,28 @@ def test_repeated_ids_nulls_and_empty_tables(spark):
     assert found(spark, [], 4) == []
 
 
+def test_many_rows_without_id_and_many_texts_of_one_id(spark):
+    rng = random.Random(8)
+    words = [f"w{n}" for n in range(300)]
+    bases = [[rng.choice(words) for _ in range(60)] for _ in range(20)]
+    rows = [(None if n % 2 else 7, edited(rng, bases[n % 20], rng.choice([0, 0.01, 0.03]))) for n in range(300)]
+    rows += [(100 + n, edited(rng, base, 0.01)) for n, base in enumerate(bases)]
+    assert found(spark, rows, 4) == sorted(brute(rows, 4), key=repr)
+
+
+def test_full_sets_meet_only_rows_of_their_text(spark):
+    rows = [(n % 2 or None, f"a b c d e f{n}") for n in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made = minhash.sketches(df, "doc_id", "text", 4)
+    wanted = made.select(
+        F.monotonically_increasing_id().alias("class_id"), F.col("doc_id").alias("rep"), "text_key", "set_key"
+    )
+    sets = minhash._full_sets(df, "doc_id", "text", 4, wanted)
+    assert sets.count() == len(rows)
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "(text_key" in plan[plan.index("Join Inner"):].split("\n")[0]
+
+
 def test_bottom_of_union_is_a_fair_estimate():
     rng = random.Random(3)
     hashes = minhash._WordHashes()
