@@ -373,6 +373,11 @@ SELECT 'sales_store' || store_id || '_' || strftime(day, '%Y_%m_%d') || '_00_00_
        CASE WHEN day >= DATE '1995-01-02' AND day < DATE '2001-12-24'
              AND date_diff('day', DATE '1995-01-02', day) % 182 = 0 THEN 1 ELSE 0 END AS read_prices
 FROM logged""",
+    "read_cycle_logs": _with(_SALE)
+    + """
+SELECT 'sales_store' || store_id || '_' || (year(sale_day) + 1) || '_01_01_00_00_00.json' AS log_file, store_id,
+       count(DISTINCT (sale_day, l_orderkey)) AS documents, count(*) AS units
+FROM sale WHERE year(sale_day) BETWEEN 1993 AND 1995 GROUP BY ALL""",
     "flatten_nested_sales": _with(_SALE)
     + f"""
 SELECT product_id, store_id, {_SALES_LOG_TEXT} AS datetime, CAST(sale_day AS VARCHAR) AS sale_day

@@ -7,7 +7,7 @@ settled to a few digits. Dates come out as text.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,12 +138,11 @@ def log_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def flatten_nested_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales written as nested documents, one per order and store and day, and read back.
+def _sales_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales as nested documents, one per order and store and day, with ``sale_day`` beside them.
 
     Transactions whose units were all discounted carry time text without the blank.
     """
-    path = scratch.folder(spark, "sales-logs")
     price = F.col("paid") / 1e6
     transactions = (
         star_schema.sales(spark, folder)
@@ -167,15 +166,53 @@ def flatten_nested_sales(spark: SparkSession, folder: str) -> DataFrame:
         "Products",
     )
     log = F.date_format(F.date_add("sale_day", 1), TIMESTAMP_FORMAT)
-    documents = (
+    return (
         transactions.groupBy("store_id", "sale_day", "l_orderkey")
         .agg(F.collect_list(one).alias("Transactions"))
-        .select(log.alias("SalesLogDateTime"), F.col("store_id").alias("StoreID"), "Transactions")
+        .select("sale_day", log.alias("SalesLogDateTime"), F.col("store_id").alias("StoreID"), "Transactions")
     )
-    documents.write.json(path)
+
+
+def flatten_nested_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales written as nested documents, one a line, and read back."""
+    path = scratch.folder(spark, "sales-logs")
+    _sales_documents(spark, folder).drop("sale_day").write.json(path)
     return _text(logs.flatten_sales(logs.read_sales_logs(spark, path, one_per_file=False)))
 
 
+#: Three years of sales, for files that hold a year each.
+THREE_YEARS = Cycle(date(1993, 1, 1), date(1996, 1, 1))
+
+
+def read_cycle_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """All sales written as files of a store and year over many lines; a cycle's files read back.
+
+    A file is one array: a row opens it, one follows for each document, and one shuts it, so no row holds
+    a whole file.
+    """
+    path = scratch.folder(spark, "sales-files")
+    after = F.make_date(F.year("sale_day") + 1, F.lit(1), F.lit(1))
+    name = F.concat(
+        F.lit(logs.PREFIX["sales"]), "StoreID", F.lit("_"), F.date_format(after, "yyyy_MM_dd"), F.lit(logs.SUFFIX)
+    )
+    made = _sales_documents(spark, folder).withColumn("file", name)
+    text = F.to_json(F.struct(*logs.SALES_LOG.names), {"pretty": "true"})
+    lines = made.select("file", F.lit(1).alias("place"), F.concat(F.lit(","), text).alias("value"))
+    files = made.select("file").distinct()
+    opened = files.select("file", F.lit(0).alias("place"), F.lit("[{}").alias("value"))
+    shut = files.select("file", F.lit(2).alias("place"), F.lit("]").alias("value"))
+    rows = lines.union(opened).union(shut).repartition("file").sortWithinPartitions("file", "place")
+    rows.select("file", "value").write.partitionBy("file").text(path)
+    read = logs.read_cycle(spark, path, THREE_YEARS, "sales")
+    log_file = F.regexp_extract("source_file", "([^/=]*)/[^/]*$", 1)
+    units = F.expr("aggregate(Transactions, 0L, (n, t) -> n + size(t.Products))")
+    return (
+        read.where("StoreID IS NOT NULL")
+        .groupBy(log_file.alias("log_file"), F.col("StoreID").alias("store_id"))
+        .agg(F.count("*").alias("documents"), F.sum(units).alias("units"))
+    )
+
+
 def flatten_price_changes(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.folder(spark, "price-changes")
     update = F.struct(F.col("price").alias("Price"), F.col("product_id").alias("ProductID"))
@@ -660,6 +697,7 @@ QUERIES: dict[str, Query] = {
     "dimension_round_trip": dimension_round_trip,
     "cycle_days": cycle_days,
     "log_files": log_files,
+    "read_cycle_logs": read_cycle_logs,
     "flatten_nested_sales": flatten_nested_sales,
     "flatten_price_changes": flatten_price_changes,
     "append_twice": append_twice,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,9 +63,10 @@ def cycle_globs(root: str, cycle: Cycle, kind: str) -> str:
 def in_cycle(name: Column, cycle: Cycle, kind: str) -> Column:
     """Does a file of this name belong to the cycle? The same choice as ``cycle_globs``, as a filter.
 
-    For cycles of so many days that a glob would be unwieldy.
+    For cycles of so many days that a glob would be unwieldy. The name may also be that of the folder that
+    holds the file, alone or as the value of a partition.
     """
-    pattern = rf"(?:^|/){PREFIX[kind]}[0-9][^/]*_([0-9]{{4}}_[0-9]{{2}}_[0-9]{{2}}){SUFFIX}$"
+    pattern = rf"(?:^|[/=]){PREFIX[kind]}[0-9][^/]*_([0-9]{{4}}_[0-9]{{2}}_[0-9]{{2}}){SUFFIX}(?:/[^/]*)?$"
     day = F.to_date(F.try_to_timestamp(F.regexp_extract(name, pattern, 1), F.lit("yyyy_MM_dd")))
     offset = F.datediff(day, F.lit(cycle.start))
     total = (cycle.end - cycle.start).days
@@ -77,10 +78,26 @@ def in_cycle(name: Column, cycle: Cycle, kind: str) -> Column:
     return F.coalesce(inside, F.lit(False))
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool) -> DataFrame:
+def _reader(spark: SparkSession, schema: T.StructType, one_per_file: bool) -> DataFrameReader:
     """Stops at a document that can't be read, naming its file, and doesn't pass over it."""
-    reader = spark.read.schema(schema).option("multiLine", one_per_file)
-    return reader.option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("multiLine", one_per_file).option("mode", "FAILFAST")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool) -> DataFrame:
+    return _reader(spark, schema, one_per_file).json(path)
+
+
+def read_cycle(
+    spark: SparkSession, root: str, cycle: Cycle, kind: str, one_per_file: bool = True
+) -> DataFrame:
+    """A cycle's documents in all folders below ``root``, with ``source_file``, the path of each.
+
+    The choice is a filter on file metadata, so files of other cycles are listed and not opened.
+    """
+    schema = {"sales": SALES_LOG, "prices": PRICE_CHANGE}[kind]
+    found = _reader(spark, schema, one_per_file).option("recursiveFileLookup", True).json(root)
+    named = found.select(*schema.names, F.col("_metadata.file_path").alias("source_file"))
+    return named.where(in_cycle(F.col("source_file"), cycle, kind))
 
 
 def read_sales_logs(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:

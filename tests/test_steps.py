@@ -426,3 +426,17 @@ def test_catalog_view_is_seen_by_other_sessions(spark, tmp_path):
     want = sales.add_up(spark.table(name))
     assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, want.collect()))
     assert seen.count() == seen.select(*sales.KEY).distinct().count() < spark.table(name).count()
+
+
+def test_only_files_of_the_cycle_are_opened(spark, tmp_path):
+    cycle = Cycle(date(2020, 1, 6), date(2020, 1, 13))
+    document = '{"SalesLogDateTime": "x",\n "StoreID": "%s",\n "Transactions": []}'
+    for n, day in enumerate(("2020_01_06", "2020_01_07", "2020_01_13", "2020_01_14")):
+        inside = tmp_path / f"sales_store{n}_{day}_00_00_00.json"
+        inside.mkdir()
+        (inside / "part-0.json").write_text(document % n if n in (1, 2) else "{ broken")
+    read = logs.read_cycle(spark, str(tmp_path), cycle, "sales")
+    assert sorted((r.StoreID, "_2020_01_" in r.source_file) for r in read.collect()) == [("1", True), ("2", True)]
+    (tmp_path / "sales_store1_2020_01_07_00_00_00.json" / "part-0.json").write_text("{ broken")
+    with pytest.raises(Exception, match="sales_store1_2020_01_07"):
+        logs.read_cycle(spark, str(tmp_path), cycle, "sales").collect()
