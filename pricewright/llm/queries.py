@@ -113,8 +113,9 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents, of their edited texts, and likeness to these and to the next."""
-    return simhash.compare_next(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents, of their edited texts, likeness to these and to the next, and the
+    smallest document that steps within the search radius reach."""
+    return simhash.with_near_classes(simhash.compare_next(table(spark, sf_dir, "documents")))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,14 @@ and joins on it. A pair is reported by the first table that holds it. Very full
 exact distance to a pivot: by the triangle inequality only rows whose distances to it differ by at most
 the radius are compared.
 
+``near_classes`` finds with the same tables which fingerprints are connected by steps within the radius,
+without a list of pairs: a task reports each fingerprint with one other of its class. Buckets of up to
+``CELL`` rows are compared whole. In a fuller one every row within the radius of the first pivot is linked
+with that pivot, and the others meet only rows whose distances to two pivots fit, block against block.
+
 Edge cases: a null text counts as empty; an empty text's fingerprint is all zeros, and two of them are
-alike; equal texts have equal fingerprints; a fingerprint that is null takes no part in the search.
+alike; equal texts have equal fingerprints; a fingerprint that is null takes no part in the search; rows
+without id belong to the class of their text, whose id is the smallest there is, or null if there is none.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.llm import common
+from pricewright.llm.minhash import components
 
 BITS = 128
 CACHE_WORDS = 100_000
@@ -34,6 +41,10 @@ CACHE_WORDS = 100_000
 ROWS_A_SLICE = 5000
 LEAST_SLICES = 512
 MOST_SLICES = 10_000
+#: Bits that near fingerprints may differ in.
+RADIUS = 3
+#: Rows that are compared with each other in one place; fuller buckets are cut.
+CELL = 2048
 
 
 class _WordHashes(dict):
@@ -143,6 +154,126 @@ def within(df: DataFrame, key: str, fp: str, radius: int) -> DataFrame:
     )
 
 
+def _half(fp: Column, low: int) -> Column:
+    """16 hex digits as a number of 64 bits."""
+    return F.conv(F.substring(fp, low, 16), 16, -10).cast("bigint")
+
+
+def _apart(high: str, low: str) -> Column:
+    """Distance of the row's two halves to two others."""
+    return F.bit_count(F.col("high").bitwiseXOR(F.col(high))) + F.bit_count(F.col("low").bitwiseXOR(F.col(low)))
+
+
+def _joined(high: np.ndarray, low: np.ndarray, radius: int) -> np.ndarray:
+    """For each row the first row of its class, by steps of at most ``radius`` bits."""
+    first = np.full(len(high), -1)
+    left = np.arange(len(high))
+    while len(left):
+        seed, left = left[0], left[1:]
+        first[seed] = seed
+        reached = [seed]
+        while reached and len(left):
+            n = reached.pop()
+            apart = np.bitwise_count(high[left] ^ high[n]) + np.bitwise_count(low[left] ^ low[n])
+            found = left[apart <= radius]
+            if len(found):
+                first[found] = seed
+                reached.extend(found)
+                left = left[apart > radius]
+    return first
+
+
+def _linked(pieces: DataFrame, radius: int) -> DataFrame:
+    """``a``, ``b``: each row of a piece with the first row of its class in the piece. A piece is small."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(rows: np.ndarray) -> pa.RecordBatch:
+            made: list[tuple[str, str]] = []
+            starts = [0, *(np.flatnonzero(np.diff(rows[0])) + 1), rows.shape[1]]
+            for start, end in zip(starts[:-1], starts[1:], strict=True):
+                high, low = rows[1:, start:end].view(np.uint64)
+                first = _joined(high, low, radius)
+                for n in np.flatnonzero(first != np.arange(len(first))):
+                    m = first[n]
+                    made.append((f"{high[n]:016x}{low[n]:016x}", f"{high[m]:016x}{low[m]:016x}"))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([link[n] for link in made], pa.string()) for n in (0, 1)], ["a", "b"]
+            )
+
+        held = np.empty((3, 0), np.int64)
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([batch.column(n).to_numpy() for n in range(3)])], axis=1)
+            whole = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
+            held = rows[:, whole:]
+            if whole:
+                yield links(np.ascontiguousarray(rows[:, :whole]))
+        if held.shape[1]:
+            yield links(np.ascontiguousarray(held))
+
+    dealt = pieces.select("piece", "high", "low").repartition("piece").sortWithinPartitions("piece")
+    return dealt.mapInArrow(found, "a string, b string")
+
+
+def near_classes(df: DataFrame, key: str, fp: str, radius: int = RADIUS) -> DataFrame:
+    """``fp`` and ``near_id``, the smallest ``key`` of all rows that steps of at most ``radius`` bits reach."""
+    digits = BITS // 4
+    if not 0 <= radius < digits:
+        raise ValueError(f"the radius must be from 0 to {digits - 1}")
+    each = common.stage(
+        df.where(F.col(fp).isNotNull()).groupBy(F.col(fp).alias("fp")).agg(F.min(key).alias("first")),
+        "simhash-each",
+    )
+    ends = [digits * n // (radius + 1) for n in range(radius + 2)]
+    blocks = [F.xxhash64(F.lit(n), F.substring("fp", ends[n] + 1, ends[n + 1] - ends[n])) for n in range(radius + 1)]
+    tables = each.select(_half(F.col("fp"), 1).alias("high"), _half(F.col("fp"), 17).alias("low"), F.explode(F.array(*blocks)).alias("bucket"))
+    row = F.struct("high", "low")
+    buckets = tables.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("p"), F.max(row).alias("q")).where("n > 1")
+    placed = tables.join(buckets, "bucket")
+    small = placed.where(f"n <= {CELL}").select(F.col("bucket").alias("piece"), "high", "low")
+
+    full = placed.where(f"n > {CELL}").withColumn("to_p", _apart("p.high", "p.low"))
+    pivot = F.col("to_p") <= radius
+    text = [F.lpad(F.lower(F.hex(c)), 16, "0") for c in ("high", "low", "p.high", "p.low")]
+    stars = full.where(pivot).select(F.concat(*text[:2]).alias("a"), F.concat(*text[2:]).alias("b"))
+    step = radius + 1
+    ringed = full.select(
+        "bucket", "high", "low", pivot.alias("at_p"),
+        F.floor(F.col("to_p") / step).cast("int").alias("r"), F.floor(_apart("q.high", "q.low") / step).cast("int").alias("s"),
+    )
+    # One side stays in its cell and the other is also sent to the cells around it.
+    cell = ["bucket", "r", "s"]
+    own = ringed.where("NOT at_p").select(*cell, "high", "low")
+    near = [F.array(*[F.col(c) + n for n in (-1, 0, 1)]) for c in ("r", "s")]
+    sent = (
+        ringed.withColumn("r", F.explode(near[0])).withColumn("s", F.explode(near[1])).select(*cell, "high", "low")
+    )
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias(name))
+
+    cells = counted(own, "owns").join(counted(sent, "sends"), cell)
+
+    def dealt(rows: DataFrame, mine: str, theirs: str) -> DataFrame:
+        slot = F.pmod(F.xxhash64("high", "low"), F.col(mine)).cast("int").alias(mine)
+        all_theirs = F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(theirs)
+        out = rows.join(cells, cell).select(*cell, "high", "low", slot, all_theirs)
+        return out.select(F.xxhash64(F.lit("cell"), *cell, "owns", "sends").alias("piece"), "high", "low")
+
+    pieces = small.union(dealt(own, "owns", "sends")).union(dealt(sent, "sends", "owns"))
+    links = _linked(pieces, radius).union(stars)
+    met = components(links).select(F.col("node").alias("fp"), "component")
+    named = each.join(met, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
+    least = named.groupBy("class").agg(F.min("first").alias("near_id"))
+    return named.join(least, "class").select("fp", "near_id")
+
+
+def with_near_classes(df: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``compare_next``'s rows with ``near_id``, the class of their fingerprints. Other columns stay."""
+    made = common.stage(df, "simhash-rows")
+    classes = near_classes(made, "doc_id", "fingerprint", radius).withColumnRenamed("fp", "fingerprint")
+    return made.join(classes, "fingerprint", "left").select(*made.columns, "near_id")
+
+
 def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     """``doc_id``, ``text`` and ``next_text``, the text of the next id in ascending order; the last id's
     is the first's. One shuffle of the texts.

@@ -8,9 +8,10 @@ from pathlib import Path
 import pytest
 from compare import database, difference
 from llm.test_minhash import brute
-from llm.test_small import plain_spans
+from llm.test_small import plain_classes, plain_spans
 
 import pricewright.llm
+from pricewright.llm import simhash
 from pricewright.llm.queries import QUERIES, SQL, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,6 +52,25 @@ def test_pii_query(spark, documents):
         assert plain_spans(text) in out[doc_id].spans
 
 
+def test_simhash_query(spark, documents):
+    out = {r.doc_id: r for r in QUERIES["op9_simhash"](spark, FOLDER).collect()}
+    rows = sorted((i, t or "") for i, t in documents)
+    assert sorted(out) == [i for i, _ in rows]
+    hashes = simhash._WordHashes()
+    own = [(i, simhash.fingerprint(t, hashes).hex()) for i, t in rows]
+    classes = plain_classes(own, simhash.RADIUS)
+    for n, (i, t) in enumerate(rows):
+        following = rows[(n + 1) % len(rows)][1]
+        part = len(t) // 4
+        edited = t[: len(t) - part] + following[:part]
+        prints = [simhash.fingerprint(x, hashes) for x in (t, edited, following)]
+        near = [1 - (int.from_bytes(prints[0]) ^ int.from_bytes(x)).bit_count() / 128 for x in prints[1:]]
+        r = out[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (prints[0].hex(), prints[1].hex())
+        assert [r.near_edited, r.near_next, r.near_id] == [*near, classes[r.fingerprint]]
+
+
 def test_plans(spark):
     """Native operators run no Python; encoding is evaluated once; nothing joins all with all."""
     for name, query in QUERIES.items():

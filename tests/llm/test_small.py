@@ -217,6 +217,55 @@ def test_within_radius_finds_all(spark, radius):
     assert out == truth
 
 
+def plain_classes(rows, radius):
+    """Smallest id reached by steps of at most ``radius`` bits, for every (id, fingerprint)."""
+    values = {v: int(v, 16) for _, v in rows if v}
+    near = {v: None for v in values}
+    for seed in values:
+        if near[seed] is None:
+            near[seed], reached = seed, [seed]
+            while reached:
+                n = reached.pop()
+                for v in values:
+                    if near[v] is None and (values[v] ^ values[n]).bit_count() <= radius:
+                        near[v] = seed
+                        reached.append(v)
+    least = {}
+    for i, v in rows:
+        if v and i is not None:
+            least[near[v]] = min(i, least.get(near[v], i))
+    return {v: least.get(near[v]) for v in values}
+
+
+@pytest.mark.parametrize(("radius", "cell"), [(0, 2048), (3, 2048), (3, 8), (7, 16), (3, 1)])
+def test_near_classes(spark, monkeypatch, radius, cell):
+    monkeypatch.setattr(simhash, "CELL", cell)
+    rng = random.Random(6)
+    values = []
+    for _ in range(6):
+        b = rng.getrandbits(128)
+        for _ in range(40):
+            v = b
+            for bit in rng.sample(range(128), rng.randint(0, 7)):
+                v ^= 1 << bit
+            values.append(f"{v:032x}")
+        # A chain, whose ends are far apart, and a family about one fingerprint.
+        for _ in range(30):
+            b ^= 1 << rng.randrange(32, 128)
+            b ^= 1 << rng.randrange(32, 128)
+            values.append(f"{b:032x}")
+        values += [f"{b ^ (1 << bit):032x}" for bit in rng.sample(range(128), 20)]
+    values += values[:20] + ["0" * 32, "f" * 32, None]
+    ids = [None if n % 17 == 0 else n for n in rng.sample(range(10000), len(values))]
+    rows = list(zip(ids, values, strict=True)) + [(None, "5" * 32)]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id bigint, fingerprint string, first string")
+    out = {r.fp: r.near_id for r in simhash.near_classes(df, "doc_id", "fingerprint", radius).collect()}
+    assert out == plain_classes(rows, radius)
+    assert simhash.near_classes(df.limit(0), "doc_id", "fingerprint", radius).count() == 0
+    kept = simhash.with_near_classes(df, radius)
+    assert kept.count() == len(rows) and kept.where("fingerprint IS NULL AND near_id IS NULL").count() == 1
+
+
 # Personal data.
 
 
