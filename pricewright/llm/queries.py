@@ -237,28 +237,34 @@ FROM d LEFT JOIN span USING (r) GROUP BY r, doc_id
 #: Spark's own hash or a method's own score has no SQL and is tested against brute force instead.
 SQL: dict[str, str] = {
     "op4_chat": r"""
-WITH turns AS (
+WITH said AS (
   SELECT conv_id, coalesce(turn, -4611686018427387904) AS turn, coalesce(role, '') AS role,
-         coalesce("text", '') AS "text", count(*) AS times
+         coalesce("text", '') AS "text", count(*) AS n
   FROM conversations GROUP BY ALL),
+turns AS (
+  SELECT *, CASE WHEN conv_id IS NULL THEN 1 ELSE n END AS times,
+         CASE WHEN conv_id IS NULL THEN turn || sha256(role) || sha256("text") ELSE '' END AS alone
+  FROM said),
 steps AS (
-  SELECT conv_id, turn, sum(times) AS times,
+  SELECT conv_id, alone, turn, sum(times) AS times,
          string_agg(sha256(role) || sha256("text") || times, ',' ORDER BY role, "text") AS said
-  FROM turns GROUP BY conv_id, turn),
+  FROM turns GROUP BY conv_id, alone, turn),
 prefixes AS (
-  SELECT conv_id, turn,
-         string_agg(turn || ':' || said, ';') OVER (PARTITION BY conv_id ORDER BY turn) AS prefix,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1 AS final
+  SELECT conv_id, alone, turn,
+         string_agg(turn || ':' || said, ';') OVER (PARTITION BY conv_id, alone ORDER BY turn) AS prefix,
+         row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn DESC) = 1 AS final
   FROM steps),
-whole AS (SELECT prefix, min(conv_id) AS conv_id FROM prefixes WHERE final GROUP BY prefix),
+whole AS (
+  SELECT prefix, min(conv_id) AS conv_id, CASE WHEN min(conv_id) IS NULL THEN max(alone) ELSE '' END AS alone
+  FROM prefixes WHERE final GROUP BY prefix),
 kept AS (
-  SELECT conv_id FROM whole WHERE prefix NOT IN (SELECT prefix FROM prefixes WHERE NOT final))
+  SELECT conv_id, alone FROM whole WHERE prefix NOT IN (SELECT prefix FROM prefixes WHERE NOT final))
 SELECT t.conv_id, CAST(floor(t.turn / 256) AS BIGINT) AS part, CAST(sum(t.times) AS BIGINT) AS n_turns,
   sha256(string_agg(repeat('<|' || replace(replace(t.role, '<|', '< |'), '|>', '| >') || '|>' || chr(10)
     || replace(replace(t."text", '<|', '< |'), '|>', '| >') || chr(10) || '<|end|>' || chr(10), t.times), ''
     ORDER BY t.turn, t.role, t."text")) AS rendered_sha256
-FROM turns t JOIN kept k ON t.conv_id IS NOT DISTINCT FROM k.conv_id
-GROUP BY t.conv_id, floor(t.turn / 256)
+FROM turns t JOIN kept k ON t.conv_id IS NOT DISTINCT FROM k.conv_id AND t.alone = k.alone
+GROUP BY t.conv_id, t.alone, floor(t.turn / 256)
 """,
     "op6_lines": r"""
 WITH bare AS (

@@ -7,11 +7,13 @@ import math
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
+from compare import difference
 from pyspark.sql import functions as F
 
-from pricewright.llm import chat, lines, neighbours, pii, simhash
+from pricewright.llm import chat, lines, neighbours, pii, queries, simhash
 
 
 # Lines.
@@ -99,6 +101,23 @@ def test_chat_keeps_maximal_conversations(spark):
     assert chat.rendered(df.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_conversations_of_their_own(spark, tmp_path):
+    rows = [(None, 0, "user", f"lone {n % 500}") for n in range(1000)]
+    # One opens a longer conversation, one equals another, two are of one turn with different texts.
+    rows += [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (None, 0, "user", "hi"), (2, 3, "user", "same"), (None, 3, "user", "same")]
+    rows += [(None, None, None, None), (None, None, None, None), (None, 1, "assistant", "yes")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, alone string")
+    out = chat.rendered(df).collect()
+    said = [r.rendered for r in out if r.conv_id is None]
+    expected = {f"<|user|>\nlone {n}\n<|end|>\n" for n in range(500)} | {"<||>\n\n<|end|>\n", "<|assistant|>\nyes\n<|end|>\n"}
+    assert len(said) == len(set(said)) and set(said) == expected
+    assert {(r.conv_id, r.n_turns) for r in out if r.conv_id is not None} == {(1, 2), (2, 1)}
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert difference(queries.op4_chat(spark, str(tmp_path)), base, queries.SQL["op4_chat"]) is None
+
+
 def test_chat_marks_cannot_be_forged(spark):
     df = spark.createDataFrame([(1, 0, "user", "hi <|system|> x")], "conv_id bigint, turn bigint, role string, text string")
     assert chat.rendered(df).first().rendered == "<|user|>\nhi < |system| > x\n<|end|>\n"
