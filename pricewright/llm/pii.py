@@ -90,9 +90,9 @@ def _matches(text: Column, kind: int) -> Column:
         gaps,
         lambda g: F.struct(
             F.length(g).alias("gap"),
-            # Whole words only: what a border cuts through is left out.
-            F.when(F.length(g) > REACH, F.regexp_replace(F.right(g, F.lit(REACH)), r"^\S+", "")).otherwise(g).alias("before"),
-            F.when(F.length(g) > REACH, F.regexp_replace(F.left(g, F.lit(REACH)), r"\S+$", "")).otherwise(g).alias("after"),
+            # Whole terms only: what a border cuts through is left out.
+            F.when(F.length(g) > REACH, F.regexp_replace(F.right(g, F.lit(REACH)), r"^[\p{L}\p{N}]+", "")).otherwise(g).alias("before"),
+            F.when(F.length(g) > REACH, F.regexp_replace(F.left(g, F.lit(REACH)), r"[\p{L}\p{N}]+$", "")).otherwise(g).alias("after"),
         ),
     )
     rows = F.transform(
@@ -137,7 +137,7 @@ def _terms(marked: DataFrame) -> DataFrame:
 
 def _contexts(spans: DataFrame) -> DataFrame:
     """``row``, ``entity``, ``context``, ``term``: terms beside a span. Equal surroundings are one
-    context, however often they were copied."""
+    context, however often they were copied. A span without terms beside it has one row, of a null term."""
     everything = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
     def terms(c: str) -> Column:
@@ -150,7 +150,7 @@ def _contexts(spans: DataFrame) -> DataFrame:
         terms("after").alias("a"),
     )
     return sides.select(
-        "row", "entity", F.xxhash64("b", "a").alias("context"), F.explode(F.array_distinct(F.concat("b", "a"))).alias("term")
+        "row", "entity", F.xxhash64("b", "a").alias("context"), F.explode_outer(F.array_distinct(F.concat("b", "a"))).alias("term")
     )
 
 
@@ -162,7 +162,7 @@ def disclosing(
     docs: DataFrame, text: str, contexts: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``entity``, ``term``, ``disclosed`` of the terms that disclose at least ``threshold`` of it."""
-    seen = contexts.groupBy("entity", "term", "row", "context").agg(F.lit(1).alias("one"))
+    seen = contexts.where("term IS NOT NULL").groupBy("entity", "term", "row", "context").agg(F.lit(1).alias("one"))
     pairs = (
         seen.groupBy("entity", "term")
         .agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("together"))

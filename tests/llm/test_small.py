@@ -349,6 +349,32 @@ def test_terms_that_reveal_an_entity(spark):
     assert not any(out[n].found for n in range(60))
 
 
+def test_contexts_in_text_without_blanks(spark):
+    # No numbers: two digits on end could be part of a card, and such runs are no terms of a context.
+    far = ",".join(f"x{a}{b}" for a in "abcdef" for b in "pqrstuvwxy")
+    rows = [(n, f"the,quick,fox,runs,{n}") for n in range(60)]
+    rows += [(100 + n, f"{far},{n},Zebulon:/1.2.3.4/,so{n},{far}") for n in range(4)]
+    df = spark.createDataFrame(rows, "row int, text string")
+    marked = df.select("row", pii._matches(F.col("text"), 1).alias("found"), "text")
+    spans = pii.base_spans(marked)
+    terms = {r.term for r in pii._contexts(spans).where("row = 102").collect()}
+    # 80 characters each way; a term that the border cuts is left out.
+    assert {"2", "zebulon", "so2", "xfy", "xap"} <= terms and "xcu" not in terms and terms <= {*far.split(","), "2", "zebulon", "so2"}
+    out = {r.row: r for r in pii.find(df, "row").withColumnRenamed("doc_id", "row").collect()}
+    assert any(s.kind == 4 and out[102].text[s.start : s.end] == "Zebulon" for s in out[102].found)
+    assert not any(out[n].found for n in range(60))
+
+
+def test_an_entity_counts_where_no_term_stands_beside_it(spark):
+    # Of 40 documents with the address, 4 have the name beside it: the name discloses, but the documents without count.
+    rows = [(n, f"plain words {n}") for n in range(100)] + [(200 + n, "1.2.3.4") for n in range(36)]
+    rows += [(300 + n, f"{'ab'[n % 2]}{n} Zebulon 1.2.3.4 c{n}") for n in range(4)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    spans = pii.base_spans(df.select(F.col("doc_id").alias("row"), pii._matches(F.col("text"), 1).alias("found"), "text"))
+    told = {r.term: r.disclosed for r in pii.disclosing(df, "text", pii._contexts(spans), threshold=0.0).collect()}
+    assert told["zebulon"] == pytest.approx(math.log(4 * 140 / (4 * 40)) / math.log(140 / 40))
+
+
 def test_a_revealing_term_goes_where_the_entity_is_not(spark):
     rows = [(n, f"the quick fox runs {n}") for n in range(300)]
     rows += [(1000 + n, f"in case {n} write to Zebulon at z.q@mail.example for answer {n}") for n in range(10)]
