@@ -32,10 +32,10 @@ def to_day(text: Column) -> Column:
 
     Null text gives null; text of neither form is an error, as a sale without a day would be lost.
     """
-    stamp = F.coalesce(
-        F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)),
-        F.try_to_timestamp(text, F.lit(COMPACT_TIMESTAMP_FORMAT)),
-    )
+    # Only the form with a blank can have one. A text is not tried in the other form, as a refusal is dear.
+    stamp = F.when(
+        F.contains(text, F.lit(" ")), F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT))
+    ).otherwise(F.try_to_timestamp(text, F.lit(COMPACT_TIMESTAMP_FORMAT)))
     refused = F.raise_error(F.concat(F.lit("unreadable time: "), text)).cast("date")
     return F.when(text.isNull() | stamp.isNotNull(), F.to_date(stamp)).otherwise(refused)
 

@@ -141,11 +141,13 @@ def log_files(spark: SparkSession, folder: str) -> DataFrame:
 def _sales_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as nested documents, one per order and store and day, with ``sale_day`` beside them.
 
-    Transactions whose units were all discounted carry time text without the blank.
+    Transactions whose units were all discounted carry time text without the blank. Units are placed by their
+    document, so both groupings find their rows in place.
     """
     price = F.col("paid") / 1e6
     transactions = (
         star_schema.sales(spark, folder)
+        .repartition("store_id", "sale_day", "l_orderkey")
         .groupBy("store_id", "sale_day", "l_orderkey", "l_linenumber")
         .agg(
             F.collect_list(
