@@ -289,7 +289,7 @@ def stored_groups(spark: SparkSession, folder: str) -> DataFrame:
 def training_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Training rows stored, stored again and read."""
     path = scratch.folder(spark, "training")
-    rows = features.price_features(aggregated(spark, folder))
+    rows = scratch.stage(features.price_features(aggregated(spark, folder)), "training-rows")
     for _ in range(2):
         tables.overwrite(rows, path)
     return _text(spark.read.parquet(path).select("week_start", "store_id", "product_id", "sales", "price"))

@@ -35,3 +35,15 @@ def test_documents_are_placed_once(spark, folder):
     assert plan_of(registered._sales_documents(spark, folder)).count("Exchange hashpartitioning") == 1
     days = registered.flatten_nested_sales(spark, folder)
     assert days.where("sale_day IS NOT NULL").count() == 48
+
+
+def test_training_rows_are_made_once(spark, folder, monkeypatch):
+    stored, overwrite = [], registered.tables.overwrite
+
+    def storing(df, path):
+        stored.append(plan_of(df))
+        overwrite(df, path)
+
+    monkeypatch.setattr(registered.tables, "overwrite", storing)
+    assert registered.training_rows(spark, folder).count() > 10
+    assert len(stored) == 2 and not any("Join" in plan for plan in stored)
