@@ -17,6 +17,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricewright.sources import scratch
+
 # Model inputs, in the order of the feature vector.
 CATEGORICAL = ("department_id", "brand_id")
 NUMERICAL = ("price", "avg_hhi", "avg_traffic", "rl_price", "discount")
@@ -150,7 +152,11 @@ def train(training_rows: DataFrame, seed: int = 1, **settings: int) -> Forest:
 
 
 def encode(df: DataFrame) -> DataFrame:
-    """Each category with its number, most frequent first and then by name, and its one-hot slot."""
+    """Each category with its number, most frequent first and then by name, and its one-hot slot.
+
+    The categories are stored first, as each of them is read several times.
+    """
+    df = scratch.stage(df.select(*CATEGORICAL), "categories")
     indexer, encoder = pipeline().getStages()[:2]
     seen = [
         df.groupBy(c).agg(F.count("*").alias("rows")).select(F.lit(c).alias("field"), F.col(c).alias("category"), "rows")

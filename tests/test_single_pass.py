@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 
+from pricewright.operators import demand
 from pricewright.plans import registered
 
 
@@ -47,3 +48,13 @@ def test_training_rows_are_made_once(spark, folder, monkeypatch):
     monkeypatch.setattr(registered.tables, "overwrite", storing)
     assert registered.training_rows(spark, folder).count() > 10
     assert len(stored) == 2 and not any("Join" in plan for plan in stored)
+
+
+def test_categories_are_read_from_their_store(spark):
+    rows = [("d", "x", 1.0), ("d", "y", 2.0), ("e", "y", 3.0)]
+    made = demand.encode(spark.createDataFrame(rows, "department_id string, brand_id string, price double"))
+    plan = plan_of(made)
+    assert "Scan parquet" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan
+    assert {(r.field, r.category, r.rows, r.number) for r in made.collect()} == {
+        ("department_id", "d", 2, 0), ("department_id", "e", 1, 1), ("brand_id", "y", 2, 0), ("brand_id", "x", 1, 1)
+    }
