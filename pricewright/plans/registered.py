@@ -194,17 +194,23 @@ def read_cycle_logs(spark: SparkSession, folder: str) -> DataFrame:
     """
     path = scratch.folder(spark, "sales-files")
     after = F.make_date(F.year("sale_day") + 1, F.lit(1), F.lit(1))
-    name = F.concat(
-        F.lit(logs.PREFIX["sales"]), "StoreID", F.lit("_"), F.date_format(after, "yyyy_MM_dd"), F.lit(logs.SUFFIX)
-    )
-    made = _sales_documents(spark, folder).withColumn("file", name)
+
+    def name(store: str) -> Column:
+        day = F.date_format(after, "yyyy_MM_dd")
+        return F.concat(F.lit(logs.PREFIX["sales"]), store, F.lit("_"), day, F.lit(logs.SUFFIX)).alias("file")
+
+    made = _sales_documents(spark, folder).withColumn("file", name("StoreID"))
     text = F.to_json(F.struct(*logs.SALES_LOG.names), {"pretty": "true"})
     lines = made.select("file", F.lit(1).alias("place"), F.concat(F.lit(","), text).alias("value"))
-    files = made.select("file").distinct()
+    files = star_schema.sales(spark, folder).select(name("store_id")).distinct()
     opened = files.select("file", F.lit(0).alias("place"), F.lit("[{}").alias("value"))
     shut = files.select("file", F.lit(2).alias("place"), F.lit("]").alias("value"))
-    rows = lines.union(opened).union(shut).repartition("file").sortWithinPartitions("file", "place")
-    rows.select("file", "value").write.partitionBy("file").text(path)
+    # A number of its own: the rows are few bytes and many files, which would be merged into a few tasks.
+    count = candidates.shuffle_partitions(made)
+    rows = lines.union(opened).union(shut).repartition(count, "file").sortWithinPartitions("file", "place")
+    # Each task puts its own files in place; else the driver moves all of them, one after the other.
+    in_tasks = rows.select("file", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    in_tasks.partitionBy("file").text(path)
     read = logs.read_cycle(spark, path, THREE_YEARS, "sales")
     log_file = F.regexp_extract("source_file", "([^/=]*)/[^/]*$", 1)
     units = F.expr("aggregate(Transactions, 0L, (n, t) -> n + size(t.Products))")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from pricewright.operators import demand
 from pricewright.plans import registered
@@ -58,3 +59,16 @@ def test_categories_are_read_from_their_store(spark):
     assert {(r.field, r.category, r.rows, r.number) for r in made.collect()} == {
         ("department_id", "d", 2, 0), ("department_id", "e", 1, 1), ("brand_id", "y", 2, 0), ("brand_id", "x", 1, 1)
     }
+
+
+def test_files_of_a_cycle_are_put_in_place_by_tasks(spark, folder, monkeypatch):
+    options, option = {}, DataFrameWriter.option
+
+    def noting(self, key, value):
+        options[key] = value
+        return option(self, key, value)
+
+    monkeypatch.setattr(DataFrameWriter, "option", noting)
+    rows = registered.read_cycle_logs(spark, folder).collect()
+    assert options["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+    assert sum(r.units for r in rows) == 24
