@@ -13,6 +13,7 @@ vocabulary lacks, and null ids, are skipped by decoding; bytes that are no UTF-8
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 from collections.abc import Iterable, Iterator, Sequence
@@ -149,11 +150,14 @@ class Codec:
 
     @contextmanager
     def remembering(self) -> Iterator[Codec]:
-        """For the texts of one task: pieces are forgotten at its end, so that idle workers hold none."""
+        """For the texts of one task: pieces are forgotten at its end, so that idle workers hold none, and
+        memory that the worker keeps for later arrays is given back."""
         try:
             yield self
         finally:
             self._cache, self._older = {}, {}
+            gc.collect()
+            pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []

@@ -394,7 +394,7 @@ def components(links: DataFrame) -> DataFrame:
         links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "links",
     )
-    mark = None
+    mark, count = None, edges.count()
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -408,13 +408,14 @@ def components(links: DataFrame) -> DataFrame:
             joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(below.select("u", F.col("m").alias("v"))).distinct()
         )
-        edges = common.stage(small, "links")
+        # A step makes no link more than two for each there was.
+        edges = common.stage(small, "links", 2 * count)
         now = edges.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))
         ).first()
         if now == mark:
             break
-        mark = now
+        mark, count = now, now[0]
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.union(edges.select(F.col("v"), F.col("v"))).distinct()
 
@@ -438,9 +439,13 @@ def near_duplicates(
         .select("set_key", F.col("one.doc_id").alias("rep"), "one.text_key", "n_shingles", "sketch")
         .withColumn("class_id", F.monotonically_increasing_id()),
         "minhash-classes",
+        rows.count(),
     )
+    n_classes = classes.count()
     likely = common.stage(
-        _likely(classes.where("n_shingles > 1").select("class_id", "n_shingles", "sketch")), "minhash-likely"
+        _likely(classes.where("n_shingles > 1").select("class_id", "n_shingles", "sketch")),
+        "minhash-likely",
+        n_classes,
     )
     grouped = common.stage(_grouped(_prefixes(likely)), "minhash-groups")
     near = common.stage(
@@ -472,7 +477,7 @@ def near_duplicates(
     )
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = common.stage(
-        joined.join(smallest, "component").select("set_key", "component_id"), "minhash-named"
+        joined.join(smallest, "component").select("set_key", "component_id"), "minhash-named", n_classes
     )
     own = rows.select("doc_id", "n_shingles", "set_key")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))

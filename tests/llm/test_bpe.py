@@ -74,3 +74,17 @@ def test_frames(spark, library):
         str(r) for r in out.select("doc_id", "ids", "decoded").collect()
     )
     assert bpe.encode_frame(df.limit(0), vocabulary()).count() == 0
+
+
+def test_a_task_gives_memory_back(monkeypatch):
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(True)
+
+    monkeypatch.setattr(bpe.pa, "default_memory_pool", Pool)
+    with bpe.codec(vocabulary()).remembering() as own:
+        own.encode("some words")
+        assert own._cache and not given_back
+    assert given_back and not own._cache

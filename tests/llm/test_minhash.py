@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from pricewright.llm import minhash
+from pricewright.sources import scratch
 
 
 def brute(rows, words, similarity=80):
@@ -147,3 +148,27 @@ def test_components(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert {(r.node, r.component) for r in out} == {(x, find(x)) for x in linked}
     assert minhash.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_few_links_are_few_files(spark, monkeypatch):
+    """Without adaptive merging every table of the steps would be as many files as there are partitions."""
+    written = []
+    stored = scratch.stage
+
+    def watched(df, name):
+        out = stored(df, name)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(scratch, "stage", watched)
+    known = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "48"}
+    before = {k: spark.conf.get(k) for k in known}
+    try:
+        for k, v in known.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame([(n, n + 1) for n in range(12)], "a bigint, b bigint")
+        assert {r["component"] for r in minhash.components(links).collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(written) > 2 and max(written[1:]) <= spark.sparkContext.defaultParallelism
