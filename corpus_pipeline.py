@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over documents, each written to Parquet and read by the next.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which
-is written and read again as the next one's docs. All but the last return the columns of documents.
+is written and read again as the next one's docs. All but the last return the columns of documents. A stage
+may be run by itself on docs that were read elsewhere, so those with Python keep its batches small themselves.
 
 Edge cases: rows of a null id are never near copies to be dropped; of rows that repeat an id and its text
 one stays after the near-duplicate stage, and different texts of one id are separate documents; an empty
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricewright.llm import bpe, language, lines, minhash, mixing
-from pricewright.llm.common import fresh, stage, table
+from pricewright.llm.common import fresh, short_batches, stage, table
 from pricewright.llm.queries import vocabulary
 
 #: A document is rejected if its language can't be told: no letters, or no language above this share.
@@ -29,6 +30,7 @@ MOST_LINES = 1.0
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told. Learns from the labelled ones among them."""
+    short_batches(spark)
     model = language.fit(docs, "doc_id", "text", "lang")
     found = fresh(docs.columns, "found")
     told = docs.withColumn(found, language.predict(F.col("text"), model))
@@ -38,6 +40,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def strip_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out the lines that too many documents of a source have. Every document stays."""
+    short_batches(spark)
     return lines.drop_lines(
         docs, "source", ratio=LINE_RATIO, least_pages=LEAST_DOCUMENTS, copies_once=True, most=MOST_LINES,
         near_once=True,
@@ -49,6 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document is an id with its text: different texts under one id are judged apart.
     """
+    short_batches(spark)
     key = fresh(docs.columns, "row_key")
     named = docs.where("doc_id IS NOT NULL").withColumn(key, F.xxhash64("doc_id", "text"))
     groups = minhash.near_duplicates(named, key=key).select(F.col("doc_id").alias(key), "component_id").distinct()
@@ -79,6 +83,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of what they decode to."""
+    short_batches(spark)
     base = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
     both = base.select("doc_id", "source", bpe.round_trip(F.col("text"), vocabulary()).alias("b"))
     return both.select("doc_id", "source", "b.ids", "b.decoded").select(

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from llm.test_minhash import brute
-from pricewright.llm.common import stage
+from pricewright.llm.common import BATCH_ROWS, stage
 from pricewright.llm.queries import vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -142,3 +144,25 @@ def test_mixing_gives_rows_their_own_copies(spark):
     want = {r.k: r.n for r in mixed.collect()}
     names = {r.k: (r.doc_id, r.text, r.source) for r in docs.select("*", key.alias("k")).collect()}
     assert out == Counter({names[k]: n for k, n in want.items() if n})
+
+
+@pytest.mark.parametrize("name", [name for name, _ in P.STAGES if name != "mixing"])
+def test_a_stage_alone_hands_small_batches_to_python(spark, name):
+    """Also with docs that were not read by ``common.table``: a whole partition of texts was one batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    @F.arrow_udf("int")
+    def rows(texts: pa.Array) -> pa.Array:
+        return pa.array([len(texts)] * len(texts), pa.int32())
+
+    docs = spark.range(2 * BATCH_ROWS + 5, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("the words of "), F.col("id")).alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source"),
+    )
+    try:
+        spark.conf.set(key, "10000")
+        dict(P.STAGES)[name](spark, docs, FOLDER)
+        assert docs.select(F.max(rows("text"))).first()[0] == BATCH_ROWS
+    finally:
+        spark.conf.set(key, before)
