@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from pricewright.operators import demand
+from pricewright.operators import candidates, demand, experiment, optimize
 from pricewright.plans import registered
+from pricewright.sources import scratch
 
 
 @pytest.fixture
@@ -72,3 +74,52 @@ def test_files_of_a_cycle_are_put_in_place_by_tasks(spark, folder, monkeypatch):
     rows = registered.read_cycle_logs(spark, folder).collect()
     assert options["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
     assert sum(r.units for r in rows) == 24
+
+
+def test_what_a_stored_table_shuffled_is_removed(spark, monkeypatch):
+    seen, parquet = [], DataFrameWriter.parquet
+
+    def noting(self, *args, **more):
+        seen.append(spark.conf.get(scratch._CLEANUP, "false"))
+        return parquet(self, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noting)
+    before = spark.conf.get(scratch._CLEANUP, "false")
+    staged = scratch.stage(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "counts")
+    assert seen == ["true"] and spark.conf.get(scratch._CLEANUP, "false") == before
+    scratch.discard(staged)
+    assert spark.read.parquet(staged.staged_at).count() == 0
+
+
+def test_sales_of_other_stores_are_left_out_before_they_are_grouped(spark, folder):
+    """The rows are those of treatment stores; before, every store's sales were grouped and joined."""
+    made = registered.treated(spark, folder)
+    want = experiment.treated(registered.aggregated(spark, folder))
+    assert made.columns == want.columns
+    assert sorted(made.collect()) == sorted(want.collect()) and made.count() > 5
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
+def test_product_rows_are_shuffled_once_for_their_grid(spark, folder):
+    grid = candidates.on_grid(scratch.stage(registered.offered(spark, folder, every_week=True), "products"))
+    assert grid.count() > 5
+    grid.collect()
+    plan = plan_of(grid).split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 1 and "ReusedExchange" in plan
+
+
+def test_the_search_empties_what_nothing_reads(spark, folder):
+    products = scratch.stage(registered.offered(spark, folder, every_week=True), "products")
+    known = len(scratch._staged)
+    best = optimize.best_sum(products, registered.MODEL)
+    full = {path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path in scratch._staged[known:] if spark.read.parquet(path).count()}
+    assert full == {"best-sums"}
+    # Of a product's prices only the one picked is kept.
+    rows = best.collect()
+    assert rows and all(len(p.choices) == 1 and p.choices[0].price_idx == i for r in rows for p, i in zip(r.products, r.picks, strict=True))
+
+
+def test_candidates_are_made_from_a_stored_grid(spark, folder):
+    plan = plan_of(registered.scored_candidates(spark, folder))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
