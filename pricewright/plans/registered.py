@@ -210,19 +210,19 @@ def read_cycle_logs(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit(logs.PREFIX["sales"]), store, F.lit("_"), day, F.lit(logs.SUFFIX)).alias("file")
 
     made = _sales_documents(spark, folder).withColumn("file", name("StoreID"))
-    text = F.to_json(F.struct(*logs.SALES_LOG.names), {"pretty": "true"})
-    lines = made.select("file", F.lit(1).alias("place"), F.concat(F.lit(","), text).alias("value"))
+    document = F.struct(*logs.SALES_LOG.names)
+    lines = made.select("file", F.lit(1).alias("place"), document.alias("document"))
     files = star_schema.sales(spark, folder).select(name("store_id")).distinct()
-    opened = files.select("file", F.lit(0).alias("place"), F.lit("[{}").alias("value"))
-    shut = files.select("file", F.lit(2).alias("place"), F.lit("]").alias("value"))
+    none = F.lit(None).cast(lines.schema["document"].dataType)
+    ends = files.select("file", F.explode(F.array(F.lit(0), F.lit(2))).alias("place"), none.alias("document"))
     # A number of its own: the rows are few bytes and many files, which would be merged into a few tasks.
     count = candidates.shuffle_partitions(made)
-    rows = lines.union(opened).union(shut).repartition(count, "file").sortWithinPartitions("file", "place")
-    # Each task puts its own files in place; else the driver moves all of them, one after the other.
-    in_tasks = rows.select("file", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    in_tasks.partitionBy("file").text(path)
+    rows = lines.union(ends).repartition(count, "file").sortWithinPartitions("file", "place")
+    text = F.concat(F.lit(","), F.to_json("document", {"pretty": "true"}))
+    value = F.when(F.col("place") == 0, "[{}").when(F.col("place") == 2, "]").otherwise(text)
+    logs.write_files(rows.select("file", value.alias("value")), path)
     read = logs.read_cycle(spark, path, THREE_YEARS, "sales")
-    log_file = F.regexp_extract("source_file", "([^/=]*)/[^/]*$", 1)
+    log_file = F.regexp_extract("source_file", f"({logs.PREFIX['sales']}[^/=]*)(?:/[^/]*)?$", 1)
     units = F.expr("aggregate(Transactions, 0L, (n, t) -> n + size(t.Products))")
     return (
         read.where("StoreID IS NOT NULL")

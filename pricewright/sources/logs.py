@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricewright.functions.calendar import Cycle, to_day
+from pricewright.sources.shipping import ship
 
 _ITEM = T.StructType(
     [T.StructField("Price", T.DoubleType()), T.StructField("ProductID", T.StringType())]
@@ -112,6 +119,71 @@ def read_price_changes(spark: SparkSession, path: str, one_per_file: bool = True
     return _read(spark, path, PRICE_CHANGE, one_per_file)
 
 
+#: What Spark's writer names the folder of rows without a name. It starts so that it is not hidden.
+_NAMELESS = "file=__HIVE_DEFAULT_PARTITION__"
+#: Each task puts its own files in place; else the driver moves all of them, one after the other.
+_BY_TASKS = "mapreduce.fileoutputcommitter.algorithm.version", "2"
+
+
+def write_files(rows: DataFrame, path: str) -> None:
+    """Lines ``value`` into text files named ``file``, in folders below ``path``. A task has whole files and
+    their lines in order.
+
+    In a mounted folder a task writes its files itself and then names their folder, as Spark's writer makes a folder
+    for each file and starts three processes for its rights; the names are listed beside them. Other stores are
+    reached through Spark's writer only, and a file's name is then that of its folder.
+    """
+    mounted = re.fullmatch(r"(?:file:(?://)?)?(/[^/].*)", path)
+    if mounted is None:
+        rows.write.option(*_BY_TASKS).partitionBy("file").text(path)
+        return
+    ship(rows.sparkSession)
+    root = mounted[1]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        # Hidden until it is whole; of two attempts the first stays.
+        made = f"{root}/_attempt-{task.taskAttemptId()}"
+        os.makedirs(made, exist_ok=True)
+        name, out, names = None, None, []
+        for batch in batches:
+            files, text = batch["file"].fill_null(_NAMELESS), batch["value"]
+            ends = np.flatnonzero(files.to_numpy(zero_copy_only=False)[1:] != files.to_numpy(zero_copy_only=False)[:-1]) + 1
+            cuts = [0, *ends.tolist(), len(files)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                own = files[start].as_py()
+                if own != name:
+                    if out is not None:
+                        out.close()
+                    name, out = own, open(f"{made}/{own}", "wb")
+                    names.append(own)
+                out.write(_bytes(text.slice(start, end - start)))
+        if out is not None:
+            out.close()
+        if not names:
+            os.rmdir(made)
+            return
+        try:
+            os.rename(made, f"{root}/files-{task.partitionId():05d}")
+        except OSError:
+            if not os.path.isdir(f"{root}/files-{task.partitionId():05d}"):
+                raise
+        yield pa.RecordBatch.from_arrays([pa.array(names)], ["file"])
+
+    lines = rows.select("file", F.concat(F.coalesce("value", F.lit("")), F.lit("\n")).alias("value"))
+    lines.mapInArrow(each, "file string").write.option(*_BY_TASKS).parquet(f"{path}/_names")
+
+
+def _bytes(text: pa.Array) -> memoryview:
+    """All values of an array of texts without nulls, one after the other."""
+    _, places, data = text.buffers()
+    width = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    at = np.frombuffer(places, dtype=width)[[text.offset, text.offset + len(text)]]
+    return memoryview(data)[at[0] : at[1]]
+
+
 def flatten_sales(logs: DataFrame) -> DataFrame:
     """One row per unit sold: product, store, time text and day of the transaction."""
     sold = logs.select("StoreID", F.explode("Transactions").alias("t")).select(

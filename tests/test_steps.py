@@ -440,3 +440,18 @@ def test_only_files_of_the_cycle_are_opened(spark, tmp_path):
     (tmp_path / "sales_store1_2020_01_07_00_00_00.json" / "part-0.json").write_text("{ broken")
     with pytest.raises(Exception, match="sales_store1_2020_01_07"):
         logs.read_cycle(spark, str(tmp_path), cycle, "sales").collect()
+
+
+def test_files_are_written_by_tasks_under_their_names(spark, tmp_path):
+    """One plain file a name, none hidden is read; before, a folder and a checksum were made for each."""
+    rows = [(f"f{n % 7}" if n % 7 else None, n, f"line {n} é" if n != 8 else None) for n in range(3000)]
+    df = spark.createDataFrame(rows, "file string, n int, value string").repartition(3, "file").sortWithinPartitions("file", "n")
+    for path in (str(tmp_path / "plain"), f"file:{tmp_path}/uri", f"file://{tmp_path}/slashes"):
+        logs.write_files(df.select("file", "value"), path)
+        found = {p.name: p.read_text() for p in tmp_path.glob("*/files-*/*")}
+        assert sorted(found) == [*[f"f{k}" for k in range(1, 7)], "file=__HIVE_DEFAULT_PARTITION__"]
+        for name, text in found.items():
+            own = [v or "" for f, n, v in rows if (f or "file=__HIVE_DEFAULT_PARTITION__") == name]
+            assert text.split("\n") == [*own, ""]
+        assert spark.read.option("recursiveFileLookup", True).text(path).count() == 3000
+        assert not list(tmp_path.glob("*/files-*/.*"))
